@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import consensus, lookalikes
+from corpusloom.llm import consensus, lookalikes, toxicity
 from corpusloom.session import table
 
 HEADS = ["headword", "headword_civil", "headword_key"]
@@ -39,6 +39,18 @@ def p2_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
     return consensus.alpha(consensus.answers(table(spark, sf_dir, "dispute_labels"), table(spark, sf_dir, "disputes")))
 
 
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.found(table(spark, sf_dir, "documents"))
+
+
+def p8_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"))
+
+
+def p8_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.rates(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_clean": p1_clean,
@@ -46,5 +58,8 @@ QUERIES = {
     "p2_items": p2_items,
     "p2_annotators": p2_annotators,
     "p2_agreement": p2_agreement,
+    "p8_found": p8_found,
+    "p8_scores": p8_scores,
+    "p8_rates": p8_rates,
 }
 ORACLE: dict[str, str] = {}
