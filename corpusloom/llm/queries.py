@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import consensus, lookalikes, toxicity
+from corpusloom.llm import consensus, lookalikes, scanned, toxicity
 from corpusloom.session import table
 
 HEADS = ["headword", "headword_civil", "headword_key"]
@@ -39,6 +39,21 @@ def p2_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
     return consensus.alpha(consensus.answers(table(spark, sf_dir, "dispute_labels"), table(spark, sf_dir, "disputes")))
 
 
+def _values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    entries = scanned.value_table(table(spark, sf_dir, "entries"), "entries", "id", {"definition": False})
+    return entries.unionByName(
+        scanned.value_table(table(spark, sf_dir, "paragraphs"), "paragraphs", "para_id", {"text_d": True, "text_merged": True})
+    )
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scanned.found(_values(spark, sf_dir))
+
+
+def p5_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scanned.repair(_values(spark, sf_dir))
+
+
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.found(table(spark, sf_dir, "documents"))
 
@@ -58,6 +73,8 @@ QUERIES = {
     "p2_items": p2_items,
     "p2_annotators": p2_annotators,
     "p2_agreement": p2_agreement,
+    "p5_found": p5_found,
+    "p5_repaired": p5_repaired,
     "p8_found": p8_found,
     "p8_scores": p8_scores,
     "p8_rates": p8_rates,
