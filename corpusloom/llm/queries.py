@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import consensus, lookalikes, scanned, toxicity
+from corpusloom.llm import consensus, lookalikes, matching, scanned, toxicity
 from corpusloom.session import table
 
 HEADS = ["headword", "headword_civil", "headword_key"]
@@ -39,6 +39,14 @@ def p2_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
     return consensus.alpha(consensus.answers(table(spark, sf_dir, "dispute_labels"), table(spark, sf_dir, "disputes")))
 
 
+def p3_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return matching.matches(table(spark, sf_dir, "dictionary_psv"), table(spark, sf_dir, "entries"))
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p3_matches(spark, sf_dir).select("lemma_id", "id").distinct()
+
+
 def _values(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = scanned.value_table(table(spark, sf_dir, "entries"), "entries", "id", {"definition": False})
     return entries.unionByName(
@@ -73,6 +81,8 @@ QUERIES = {
     "p2_items": p2_items,
     "p2_annotators": p2_annotators,
     "p2_agreement": p2_agreement,
+    "p3_found": p3_found,
+    "p3_matches": p3_matches,
     "p5_found": p5_found,
     "p5_repaired": p5_repaired,
     "p8_found": p8_found,
