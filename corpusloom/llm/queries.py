@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import consensus, lookalikes, matching, scanned, toxicity
+from corpusloom.llm import consensus, lookalikes, matching, mixing, packing, scanned, toxicity
 from corpusloom.session import table
 
 HEADS = ["headword", "headword_civil", "headword_key"]
@@ -62,6 +62,22 @@ def p5_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scanned.repair(_values(spark, sf_dir))
 
 
+def p6_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "bin_sizes"))
+
+
+def p6_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.summary(p6_containers(spark, sf_dir))
+
+
+def p7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))
+
+
+def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.report(p7_mix(spark, sf_dir), table(spark, sf_dir, "mix_targets"))
+
+
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.found(table(spark, sf_dir, "documents"))
 
@@ -85,6 +101,10 @@ QUERIES = {
     "p3_matches": p3_matches,
     "p5_found": p5_found,
     "p5_repaired": p5_repaired,
+    "p6_containers": p6_containers,
+    "p6_summary": p6_summary,
+    "p7_mix": p7_mix,
+    "p7_shares": p7_shares,
     "p8_found": p8_found,
     "p8_scores": p8_scores,
     "p8_rates": p8_rates,
