@@ -1,0 +1,114 @@
+"""Entries out of page text: assembly across pages, the split into head and definition, repair with moved spans, flags."""
+
+from __future__ import annotations
+
+import re
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from corpusloom.functions.text import fixed_quotes, remap, tidied
+
+# The separators between head and definition, and marks of the parts of speech.
+SEPARATOR = re.compile(r"\s*(?:=|—|–|--|(?<=\S)-(?=\s)| - )\s*|\s*(?=\()")
+GRAMMAR = re.compile(r"^\s*(сущ\.|прил\.|гл\.|нар(?:ѣч)?\.|м\. ?р\.|ж\. ?р\.|ср\. ?р\.|\((?:съ )?греч\.[^)]*\))")
+PROVISIONAL, READ = 80, 3
+FLAGS = ("no_separator", "long_head", "mixed_script", "unbalanced_quotes", "unbalanced_parens", "empty_definition")
+_MIXED = re.compile("[A-Za-z][А-яѣѳѵі]|[А-яѣѳѵі][A-Za-z]|[α-ω][а-я]|[а-я][α-ω]")
+
+
+def balanced(text: str) -> bool:
+    """Whether parentheses pair; a closing after a number is a sense number where nothing is open."""
+    depth = 0
+    for m in re.finditer(r"\d+\)|[()]", text):
+        if m.group() == "(":
+            depth += 1
+        elif depth:
+            depth -= 1
+        elif m.group() == ")":
+            return False
+    return depth == 0
+
+
+def split_entry(text: str | None, head: str | None = None, italic: list[tuple[int, int]] = (), errata: list[tuple[str, str]] = ()) -> dict:
+    """headword, sep, gram, definition, italic (spans moved into the definition), flags.
+
+    The text is tidied and corrected (the first place of each correction), then cut at the first separator: within
+    ``PROVISIONAL`` characters, or from the end of a known head on. Dashes become "—"; an opening parenthesis stays with
+    the definition. Without a separator the head is the known one, or all up to the first space. Quotation marks are
+    paired in both parts."""
+    whole, moved = tidied(text or "")
+    spans = remap([(max(0, min(s, len(text or ""))), max(0, min(e, len(text or "")))) for s, e in italic], moved)
+    for printed, read in errata:
+        at = whole.find(printed) if printed else -1
+        if at >= 0:
+            shift = len(read) - len(printed)
+            end = at + len(printed)
+            table = [k if k <= at else min(k, at + len(read)) if k < end else k + shift for k in range(len(whole) + 1)]
+            whole = whole[:at] + read + whole[end:]
+            spans = remap(spans, table)
+    lo, hi = 0, PROVISIONAL
+    if head:
+        lo = max(0, min(len(head) - 1, len(whole)))
+        hi = len(head) + READ + PROVISIONAL // 4
+    m = SEPARATOR.search(whole, lo, min(len(whole), hi))
+    flags = []
+    if m and m.start() > 0:
+        hw, cut, sep = whole[: m.start()].strip(), m.end(), m.group().strip()
+        sep = "(" if not sep else "=" if sep == "=" else "—"
+    else:
+        flags.append("no_separator")
+        cut = len(head) if head and whole.startswith(head) else (whole + " ").find(" ")
+        hw, sep = whole[:cut].strip(), ""
+    while cut < len(whole) and whole[cut] == " ":
+        cut += 1
+    definition, spans = whole[cut:], [(max(0, s - cut), e - cut) for s, e in spans if e > cut]
+    definition, table, even = fixed_quotes(definition)
+    spans = remap(spans, table)
+    hw, _, _ = fixed_quotes(hw)
+    gram = GRAMMAR.match(definition)
+    if not even:
+        flags.append("unbalanced_quotes")
+    if not balanced(definition):
+        flags.append("unbalanced_parens")
+    if len(hw.split()) > 4:
+        flags.append("long_head")
+    if _MIXED.search(hw):
+        flags.append("mixed_script")
+    if not definition.strip():
+        flags.append("empty_definition")
+    return {"headword": hw, "sep": sep, "gram": gram.group(1) if gram else "", "definition": definition, "italic": spans, "flags": sorted(flags)}
+
+
+def split_entries(df: DataFrame, keys: list[str], text: str) -> DataFrame:
+    """keys, headword, sep, gram, definition, flags of each row's text."""
+    types = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keys)
+    names = ["headword", "sep", "gram", "definition", "flags"]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = pdf[keys].copy()
+            rows = [split_entry(t) for t in pdf[text]]
+            for name in names:
+                out[name] = [r[name] for r in rows]
+            yield out
+
+    return df.select(*dict.fromkeys([*keys, text])).mapInPandas(run, f"{types}, headword string, sep string, gram string, definition string, flags array<string>")
+
+
+def assembled(paragraphs: DataFrame, part: list[str], order: list[str], start: str, text: str) -> DataFrame:
+    """part, first (the order key of the group's first paragraph), n, text: a paragraph that starts opens an entry, the
+    others go on with it, also over pages; a hyphen at a paragraph's end joins the halves of its word."""
+    w = Window.partitionBy(*part).orderBy(*order)
+    opened = F.sum(F.coalesce(F.col(start), F.lit(True)).cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    numbered = paragraphs.withColumn("_g", opened)
+    rows = numbered.groupBy(*part, "_g").agg(F.array_sort(F.collect_list(F.struct(*order, F.coalesce(F.col(text), F.lit("")).alias("_t")))).alias("_rows"))
+    pieces = F.transform("_rows", lambda r: r["_t"])
+
+    def add(a, t):
+        return F.when(a == "", t).when(t == "", a).when(a.rlike(r"(?<! )[-¬]$"), F.concat(F.regexp_replace(a, "[-¬]$", ""), t)).otherwise(F.concat(a, F.lit(" "), t))
+
+    first = F.col("_rows")[0]
+    return rows.select(*part, *[first[c].alias(f"first_{c}") for c in order], F.size("_rows").alias("n"), F.aggregate(pieces, F.lit(""), add).alias("text"))
