@@ -148,7 +148,7 @@ _SPANS = "list_transform(list_filter(string_split(coalesce({c}, ''), ';'), lambd
 ORACLE = {
     "civil_heads": f"WITH {_H} SELECT id, {_CIVIL} AS civil, {_CIVIL} = headword_civil AS same FROM h",
     "modern_heads": f"WITH {_H} SELECT id, {_KEY} AS key, translate({_KEY}, 'йьъ', 'и') AS soft FROM h",
-    "tidy_definitions": rf"""WITH {_D} SELECT id, regexp_replace(regexp_replace(regexp_replace(definition, '([( ]) +', '\1', 'g'), ' +([.,;:)])', '\1', 'g'), ' +$', '') AS tidy,
+    "tidy_definitions": rf"""WITH {_D} SELECT id, regexp_replace(regexp_replace(regexp_replace(definition, ' $', ''), ' ([.,;:)])', '\1', 'g'), '([( ]) +', '\1', 'g') AS tidy,
         trim(regexp_replace(regexp_replace(regexp_replace(definition, '\s+([.,;:!?)])', '\1', 'g'), '\(\s+', '(', 'g'), '\s+', ' ', 'g'), ' ') AS clean FROM d""",
     "joined_lines": r"""SELECT para_id, replace(regexp_replace(text_d, '([^ \n])[-¬‐]\n', '\1', 'g'), chr(10), ' ') AS text FROM (SELECT DISTINCT para_id, text_d FROM paragraphs WHERE text_d IS NOT NULL)""",
     "separator_split": r"""WITH p AS (SELECT DISTINCT para_id, text_merged AS t FROM paragraphs WHERE text_merged IS NOT NULL),

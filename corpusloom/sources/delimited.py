@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -31,11 +32,12 @@ def read_psv(spark: SparkSession, path: str, fields: tuple[str, ...] = PSV_FIELD
 
 
 def read_tsv(spark: SparkSession, path: str, schema: StructType | str | None = None, escape: str = "") -> DataFrame:
-    """A table with a header whose quotes are ordinary characters and whose empty cells are empty strings; short rows
-    have NULLs at the end."""
+    """A table with a header whose quotes are ordinary characters; empty cells, and those that a short row lacks, are
+    empty strings (NULL in columns of another type)."""
     reader = spark.read.option("sep", "\t").option("header", True).option("quote", "").option("escape", escape)
-    reader = reader.option("mode", "PERMISSIVE").option("nullValue", "\u0000").option("emptyValue", "").option("encoding", "UTF-8")
-    return (reader.schema(schema) if schema is not None else reader).csv(path)
+    reader = reader.option("mode", "PERMISSIVE").option("encoding", "UTF-8")
+    df = (reader.schema(schema) if schema is not None else reader).csv(path)
+    return df.na.fill("")
 
 
 def read_errata(spark: SparkSession, path: str) -> DataFrame:
@@ -85,25 +87,37 @@ def decoded_answers(df: DataFrame) -> DataFrame:
     return df.select("id", shown("a").alias("a"), shown("b").alias("b"), how.alias("how"), chosen.alias("chosen"))
 
 
+_HEAD_END = re.compile(r"=|—|–|\s-\s|\(")
+
+
+def _head_length(text: str) -> int:
+    """Characters of an entry's line that are its head: the type change it begins with, else all before a separator."""
+    if text.startswith("{"):
+        return text.find("}") + 1
+    end = _HEAD_END.search(text)
+    return end.start() if end else len(text)
+
+
 def parse_truth(raw: str) -> list[tuple[str, str, bool]]:
     """(character, zone, entry start) of a ground-truth page. Lines: "# comment", "@ mark-up", "+ continuation of the
     entry above"; any other line begins an entry. "{…}" holds the headword type, "‹…›" letters from another copy,
-    "[?]" doubt, "¦" a printed line start; Greek letters are a zone of their own."""
+    "[?]" doubt, "¦" a printed line start; Greek letters of the definition are a zone of their own."""
     out: list[tuple[str, str, bool]] = []
     for line in raw.splitlines():
         if not line.strip() or line[0] in "#@":
             continue
-        text, start = (line[2:], False) if line.startswith("+ ") else (line, True)
+        start = not line.startswith("+ ")
+        text = (line if start else line[2:]).replace("[?]", "").replace("¦", "")
+        head = _head_length(text) if start else 0
         if out:
             out.append((" ", "def", False))
-        zone = "def"
-        for ch in text.replace("[?]", ""):
-            if ch in "{}":
-                zone = "hw" if ch == "{" else "def"
-            elif ch not in "‹›¦":
-                greek = "Ͱ" <= ch <= "Ͽ" or "ἀ" <= ch <= "῿"
-                out.append((ch, "grc" if greek and zone == "def" else zone, start))
-                start = False
+        for place, ch in enumerate(text):
+            if ch in "{}‹›":
+                continue
+            greek = "Ͱ" <= ch <= "Ͽ" or "ἀ" <= ch <= "῿"
+            opens = start and not ch.isspace()
+            out.append((ch, "hw" if place < head else "grc" if greek else "def", opens))
+            start = start and not opens
     return out
 
 
@@ -119,5 +133,5 @@ def truth_characters(files: DataFrame) -> DataFrame:
 
 
 def read_truth(spark: SparkSession, path: str) -> DataFrame:
-    files = spark.read.option("wholetext", True).text(path)
+    files = spark.read.text(path, wholetext=True)
     return truth_characters(files.withColumn("leaf", F.regexp_extract(F.input_file_name(), r"(\d+)\.txt", 1).cast("int")))
