@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,5 +47,28 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows of costly Python work over all tasks, also where few bytes would make few partitions."""
+    spark = df.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return df.repartition(tasks, *keys)
+
+
+def spread_scan(df: DataFrame) -> DataFrame:
+    """A scan of fewer parts than there are tasks, spread; other scans stay as they are, without a shuffle."""
+    parts = df.rdd.getNumPartitions()  # of a scan: known from the files, nothing runs
+    return spread(df) if parts < df.sparkSession.sparkContext.defaultParallelism else df
+
+
+def importable(spark: SparkSession) -> None:
+    """Lets Python workers find this package where the driver has it, whatever folder they start in."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
