@@ -117,7 +117,7 @@ def _logit(p: float) -> float:
     return log(p / (1 - p))
 
 
-def run(edges: DataFrame, rounds: int = 20, tolerance: float = 5e-3, keep: int = 6) -> tuple[DataFrame, DataFrame, list[float]]:
+def run(edges: DataFrame, rounds: int = 20, tolerance: float = 5e-3, keep: int = 2) -> tuple[DataFrame, DataFrame, list[float]]:
     """Messages to convergence (mean change of a message's probability below ``tolerance``) over item_id, annotator,
     label. Gives the edges with their last messages, one row per annotator, and the share of each class."""
     spark, k = edges.sparkSession, len(CLASSES)
