@@ -17,16 +17,18 @@ def errata_parsed(spark, d):
 
 
 def _lines(spark, d):
-    p = table(spark, d, "paragraphs").groupBy("leaf", "para_id").agg(F.max("text_d").alias("t"))
-    return p.select("leaf", F.concat_ws(":", "para_id", F.lit("")).alias("p"), F.posexplode(F.split("t", "\n")).alias("k", "line_text")).select(
-        F.col("leaf").alias("page"), F.concat("p", F.lpad(F.col("k").cast("string"), 3, "0")).alias("line_id"), "line_text"
+    """Lines by the page printed on their leaf, which is what corrections name; a leaf without a number has none."""
+    m = table(spark, d, "manifest").select(F.col("idx").alias("leaf"), F.trim("printed_page").try_cast("int").alias("page"))
+    m = m.groupBy("leaf").agg(F.max("page").alias("page")).where("page is not null")
+    p = table(spark, d, "paragraphs").groupBy("leaf", "para_id").agg(F.max("text_d").alias("t")).join(m, "leaf")
+    return p.select("page", F.concat_ws(":", "para_id", F.lit("")).alias("p"), F.posexplode(F.split("t", "\n")).alias("k", "line_text")).select(
+        "page", F.concat("p", F.lpad(F.col("k").cast("string"), 3, "0")).alias("line_id"), "line_text"
     )
 
 
 def errata_located(spark, d):
     """Corrections with the line of the page they name, or the only line of the page that has the printed word."""
-    c = errata_parsed(spark, d).withColumn("page", (F.col("page") % 126).cast("int"))
-    return C.located(c, _lines(spark, d), "page", "line_id", "line_text").select("doc_id", "page", "line", "below", "printed", "how", "found_at")
+    return C.located(errata_parsed(spark, d), _lines(spark, d), "page", "line_id", "line_text").select("doc_id", "page", "line", "below", "printed", "how", "found_at")
 
 
 def _breaks(spark, d, column, name):

@@ -18,6 +18,19 @@ def test_corrections(spark):
     assert {r.how for r in C.located(parsed, lines.limit(0), "page", "o", "t").collect()} == {""}
 
 
+def test_pages_beyond_a_small_book(spark, tmp_path):
+    """Corrections are looked up on the leaf with the printed page they name, however large it is."""
+    from corpusloom.plans.corrections import errata_located
+
+    text = "Стран. 300, строка 2 сверху: напечатано вода, слѣдуетъ читать воды. Стран. 7, строка 1 сверху: напечатано домъ, слѣдуетъ читать дома."
+    spark.createDataFrame([(1, text)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(310, "300"), (310, None), (48, "48"), (7, "XIV")], "idx int, printed_page string").write.parquet(f"{tmp_path}/manifest.parquet")
+    lines = [(310, "0310-1-01", "рыба\nвода"), (48, "0048-1-01", "вода\nвода"), (7, "0007-1-01", "домъ")]
+    spark.createDataFrame(lines, "leaf int, para_id string, text_d string").write.parquet(f"{tmp_path}/paragraphs.parquet")
+    got = {r.page: (r.how, r.found_at) for r in errata_located(spark, str(tmp_path)).collect()}
+    assert got == {300: ("line", "0310-1-01:001"), 7: ("", None)}
+
+
 def test_uncrossed(spark):
     rng = random.Random(6)
     rows = [(k % 3, rng.randrange(12), rng.randrange(12)) for k in range(24)] + [(0, None, 1)]
