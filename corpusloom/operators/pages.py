@@ -16,6 +16,18 @@ PAGE_SPEC = {
     "headings[]": {"before_col": None},
     "entries_hint[]": {"col": None, "para": None},
 }
+#: What the layout needs.
+LAYOUT_SPEC = {
+    "size": list,
+    "columns[]": {
+        "n": None,
+        "paragraphs[]": {
+            "bbox": list,
+            "hanging": None,
+            "lines[]": {"bbox": list, "base": None, "ind": None, "fs": None, "text": None, "words": list},
+        },
+    },
+}
 COLUMN, PARAGRAPH, LINE = "columns[]", "columns[].paragraphs[]", "columns[].paragraphs[].lines[]"
 
 
@@ -31,28 +43,29 @@ def whole(text: str | None) -> str | None:
     return str(int(number)) if np.isfinite(number) and number.is_integer() else text
 
 
+def _column_numbers(lv: Levels, group: str) -> list[str]:
+    """For each entry of a group its column's own number: its ``n``, else its place."""
+    at = f"{group}.#"
+    given, place = lv.value("columns[].n", at), lv.number(COLUMN, at)
+    return [whole(g) or p for g, p in zip(given, place)]
+
+
 def children(cols) -> list[tuple[str, str, str]]:
     """(kind, child, parent) of every child record of one shredded page."""
     lv, out = Levels(cols), []
 
-    def names(group: str) -> list[str]:
-        """Each entry's own column number: its ``n``, else its place."""
-        at = f"{group}.#"
-        given, place = lv.value("columns[].n", at), lv.number(COLUMN, at)
-        return [whole(g) or p for g, p in zip(given, place)]
-
     there = lv.there(COLUMN)
-    columns = [n for n, ok in zip(names(COLUMN), there) if ok]
+    columns = [n for n, ok in zip(_column_numbers(lv, COLUMN), there) if ok]
     out += [("column", n, "page") for n in columns]
 
     at = f"{PARAGRAPH}.#"
     paragraphs = [
-        (n, p) for n, p, ok in zip(names(PARAGRAPH), lv.number(PARAGRAPH), lv.there(PARAGRAPH)) if ok
+        (n, p) for n, p, ok in zip(_column_numbers(lv, PARAGRAPH), lv.number(PARAGRAPH), lv.there(PARAGRAPH)) if ok
     ]
     out += [("paragraph", f"{n}/{p}", n) for n, p in paragraphs]
 
     at = f"{LINE}.#"
-    for n, p, k, ok in zip(names(LINE), lv.number(PARAGRAPH, at), lv.number(LINE), lv.there(LINE)):
+    for n, p, k, ok in zip(_column_numbers(lv, LINE), lv.number(PARAGRAPH, at), lv.number(LINE), lv.there(LINE)):
         if ok:
             out.append(("line", f"{n}/{p}/{k}", f"{n}/{p}"))
 
@@ -88,3 +101,25 @@ def page_children(pages: DataFrame) -> DataFrame:
 
     now = latest(shredded(pages, "body", ["leaf", "written_at"], PAGE_SPEC), "leaf", "written_at")
     return now.mapInPandas(run, "idx int, kind string, child string, parent string")
+
+
+def layout_table(records: DataFrame, group: str, above: list[str], own: list[str]) -> DataFrame:
+    """leaf, n, para (and line, for the group LINE), then leaves of the levels above (full paths) and the group's own, as
+    text named by their last part, of each element of the group in records shredded by LAYOUT_SPEC."""
+    at, numbers = f"{group}.#", ["n", "para", "line"] if group == LINE else ["n", "para"]
+    names = [p.rpartition(".")[2] for p in above] + own
+    types = ", ".join(["leaf int", "n string", *[f"{c} int" for c in numbers[1:]], *[f"`{c}` string" for c in names]])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for leaf, cols in zip(pdf["leaf"], pdf["cols"]):
+                lv = Levels(cols)
+                data = [_column_numbers(lv, group), lv.number(PARAGRAPH, at)]
+                data += [lv.number(LINE)] if group == LINE else []
+                k = len(data)
+                data += [lv.value(p, at) for p in above] + [lv.value(f"{group}.{c}") for c in own]
+                rows += [(leaf, data[0][i], *(int(x[i]) for x in data[1:k]), *(x[i] for x in data[k:])) for i in np.flatnonzero(lv.there(group))]
+            yield pd.DataFrame(rows, columns=["leaf", *numbers, *names])
+
+    return records.select("leaf", "cols").mapInPandas(run, types)

@@ -6,7 +6,8 @@ are rebuilt from the level sequences alone: an element's number within its paren
 arithmetic on the repetition levels. Only the paths a caller names are shredded.
 
 A specification is a dict of field names; a name with "[]" is a repeated group, its value the specification below it;
-any other name is a leaf. Each repeated group has a further leaf "#", the element's number.
+any other name is a leaf. Each repeated group has a further leaf "#", the element's number. A leaf whose value is
+``list`` holds a list as a whole (a box, the words of a line), kept as its JSON text.
 
 Defined results for untidy input:
 
@@ -79,6 +80,12 @@ def scalar(value) -> str | None:
     return str(value)
 
 
+def listed(value) -> str | None:
+    """A list as JSON text, its loose shapes read as those of a repeated group."""
+    found = elements(value)
+    return None if found is None else json.dumps([x for _, x in found], ensure_ascii=False)
+
+
 def shred(record: dict, spec: dict) -> dict[str, tuple[list[int], list[int], list[str | None]]]:
     """Levels and values of each leaf path of one record."""
     cols = {p: ([], [], []) for p in leaf_paths(spec)}
@@ -97,7 +104,7 @@ def shred(record: dict, spec: dict) -> dict[str, tuple[list[int], list[int], lis
         for name, inner in sub.items():
             path = prefix + name
             if not name.endswith("[]"):
-                text = scalar(group.get(name))
+                text = (listed if inner is list else scalar)(group.get(name))
                 r, d, v = cols[path]
                 r.append(rep)
                 d.append(level + (text is not None))
@@ -228,3 +235,9 @@ def latest(df: DataFrame, key: str, at: str) -> DataFrame:
     with very many records is reduced before the shuffle, as max_by keeps one record per key and task."""
     best = F.max_by("cols", F.struct(F.col(at), F.xxhash64(F.to_json("cols")))).alias("cols")
     return df.where(F.col(key).isNotNull()).groupBy(key).agg(best)
+
+
+def earliest(df: DataFrame, key: str, at: str) -> DataFrame:
+    """As ``latest``, the record with the earliest ``at``."""
+    best = F.min_by("cols", F.struct(F.col(at), F.xxhash64(F.to_json("cols")))).alias("cols")
+    return df.where(F.col(key).isNotNull()).groupBy(key).agg(best)

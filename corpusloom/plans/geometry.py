@@ -5,32 +5,43 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpusloom.operators import geometry as G
-from corpusloom.operators.shred import latest, shredded
+from corpusloom.operators import pages as P
+from corpusloom.operators.shred import earliest, latest, shredded
 from corpusloom.session import table
 
-_PAGE = "columns array<struct<n:int,bbox:array<int>,flush:int,paragraphs:array<struct<bbox:array<int>,hanging:boolean,lines:array<struct<bbox:array<int>,base:int,ind:int,fs:double,text:string,words:array<array<string>>>>>>>>, size array<int>"
+_BOX = ("x0", "y0", "x1", "y1")
 
 
-def _pages(spark, d):
-    """One tidy record of each leaf: the latest, without the loosely shaped parts (their lines read as missing)."""
-    p = table(spark, d, "page_json").where(F.col("body").startswith("{") & F.col("body").endswith("}"))
-    p = p.groupBy("leaf").agg(F.max_by("body", F.struct("written_at", "body")).alias("body"))
-    return p.select("leaf", F.from_json("body", _PAGE).alias("x")).select("leaf", "x.*")
+def _records(spark, d):
+    return shredded(table(spark, d, "page_json"), "body", ["leaf", "written_at"], P.LAYOUT_SPEC)
+
+
+def _number(c, kind="int"):
+    """A number however it is written; other text is missing."""
+    return (F.col(c) if isinstance(c, str) else c).try_cast("double").cast(kind)
+
+
+def _box(c):
+    parts = F.from_json(c, "array<string>")
+    return [_number(F.get(parts, F.lit(k))).alias(name) for k, name in enumerate(_BOX)]
 
 
 def page_lines(spark, d):
-    """leaf, n, para, line, box and text of every well-shaped line."""
-    c = _pages(spark, d).select("leaf", F.col("size")[0].alias("width"), F.explode("columns").alias("c"))
-    q = c.select("leaf", "width", F.col("c.n").alias("n"), F.posexplode("c.paragraphs").alias("p", "q"))
-    lines = q.select("leaf", "width", "n", (F.col("p") + 1).alias("para"), F.col("q.hanging").alias("hanging"), F.posexplode("q.lines").alias("k", "l"))
-    box = [F.col("l.bbox")[k].alias(c) for k, c in enumerate(("x0", "y0", "x1", "y1"))]
-    return lines.select("leaf", "width", "n", "para", "hanging", (F.col("k") + 1).alias("line"), *box, F.col("l.base").alias("base"), F.col("l.ind").alias("ind"), F.col("l.fs").alias("fs"), F.col("l.text").alias("text"), F.col("l.words").alias("words")).where("x0 is not null")
+    """leaf, n, para, line, box and text of every line of the current pages that has a box, however loosely shaped."""
+    now = latest(_records(spark, d), "leaf", "written_at")
+    lines = P.layout_table(now, P.LINE, ["size", "columns[].paragraphs[].hanging"], ["bbox", "base", "ind", "fs", "text", "words"])
+    width = _number(F.get(F.from_json("size", "array<string>"), F.lit(0))).alias("width")
+    hanging = F.col("hanging").try_cast("boolean").alias("hanging")
+    measures = [_number("base").alias("base"), _number("ind").alias("ind"), _number("fs", "double").alias("fs")]
+    words = F.from_json("words", "array<array<string>>").alias("words")
+    return lines.select("leaf", width, _number("n").alias("n"), "para", hanging, "line", *_box("bbox"), *measures, "text", words).where("x0 is not null")
 
 
 def _words(spark, d):
     w = page_lines(spark, d).select("leaf", "width", "n", F.posexplode("words").alias("k", "w"))
-    cast = [F.col("w")[k + 1].cast("double").alias(c) for k, c in enumerate(("x0", "y0", "x1", "y1"))]
-    return w.select("leaf", "width", "n", F.col("w")[0].alias("text"), *cast, F.col("w")[5].cast("int").alias("conf")).where("x0 is not null")
+    at = lambda k: F.get("w", F.lit(k))
+    cast = [_number(at(k + 1), "double").alias(c) for k, c in enumerate(_BOX)]
+    return w.select("leaf", "width", "n", at(0).alias("text"), *cast, _number(at(5)).alias("conf")).where("x0 is not null")
 
 
 def column_gutters(spark, d):
@@ -56,16 +67,14 @@ def paragraph_boxes(spark, d):
 
 
 def matched_boxes(spark, d):
-    """Paragraph boxes of the first and the last record of a leaf, matched one to one by overlap."""
-    p = table(spark, d, "page_json").where(F.col("body").startswith("{") & F.col("body").endswith("}"))
+    """Paragraph boxes of the first and the last readable record of a leaf, matched one to one by overlap."""
+    records = _records(spark, d)
 
     def boxes(pick):
-        x = p.groupBy("leaf").agg(pick("body", F.struct("written_at", "body")).alias("body")).select("leaf", F.from_json("body", _PAGE).alias("x"))
-        c = x.select("leaf", F.explode("x.columns").alias("c")).select("leaf", F.col("c.n").alias("n"), F.posexplode("c.paragraphs").alias("k", "q"))
-        box = [F.col("q.bbox")[i].alias(name) for i, name in enumerate(("x0", "y0", "x1", "y1"))]
-        return c.select("leaf", F.concat_ws("/", "n", F.col("k") + 1).alias("id"), *box).where("x0 is not null")
+        q = P.layout_table(pick(records, "leaf", "written_at"), P.PARAGRAPH, [], ["bbox"])
+        return q.select("leaf", F.concat_ws("/", "n", "para").alias("id"), *_box("bbox")).where("x0 is not null")
 
-    return G.best_overlaps(boxes(F.min_by), boxes(F.max_by), "leaf", "id", 0.3)
+    return G.best_overlaps(boxes(earliest), boxes(latest), "leaf", "id", 0.3)
 
 
 def line_statistics(spark, d):
