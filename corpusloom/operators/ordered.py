@@ -109,9 +109,10 @@ def out_of_order(df: DataFrame, part: str, order: list[str], key: str, block: in
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(batches), ignore_index=True) if batches is not None else pd.DataFrame()
-        if pdf.empty:
+        parts = [b for b in batches if len(b)]
+        if not parts:
             return
+        pdf = pd.concat(parts, ignore_index=True)
         for _, g in pdf.groupby(part, sort=False, dropna=False):
             some = g[key].notna()
             out = g.copy()

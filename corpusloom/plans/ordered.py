@@ -101,11 +101,12 @@ def head_cut(spark, d):
 
 
 def order_flags(spark, d):
-    """Entries of each letter whose head breaks the alphabetical order: not part of the longest ordered run."""
+    """Entries whose head breaks the alphabetical order: not in the longest ordered run of their part of the book."""
     e = table(spark, d, "entries").where("headword_key is not null and headword_key != '' and headword_key != 'тожде'")
     e = e.groupBy("id", "part").agg(F.max("headword_key").alias("headword_key"))
-    keyed = e.select("id", "part", X.collation_key(F.col("headword_key")).alias("key"), F.concat_ws("-", "part", F.split("id", "-")[0].substr(1, 3)).alias("stretch"))
-    return O.out_of_order(keyed, "stretch", ["id"], "key").where("not in_order").select("id", "part")
+    place = F.transform(F.split("id", "-"), lambda x: x.try_cast("int"))  # leaves have four digits or more: not the order of the text
+    keyed = e.select("id", "part", X.collation_key(F.col("headword_key")).alias("key"), place.alias("place"))
+    return O.out_of_order(keyed, "part", ["place", "id"], "key").where("not in_order").select("id", "part")
 
 
 def line_start_scores(spark, d):

@@ -58,6 +58,16 @@ def test_order_flags(spark):
     assert O.out_of_order(df.limit(0), "part", ["o"], "key").count() == 0
 
 
+def test_order_flags_over_a_whole_part(spark, tmp_path):
+    """A head in order among its neighbours but not in its part is flagged; leaves count as numbers, not as text."""
+    from corpusloom.plans.ordered import order_flags
+
+    heads = {"0011-1-01": "а", "0012-1-01": "б", "0021-1-01": "я", "0022-1-01": "я", "0031-1-01": "в", "9999-1-01": "г", "10000-1-01": "д", "10001-1-01": "е"}
+    rows = [(k, "main", v) for k, v in heads.items()] + [("0040-1-01", "supplement", "а"), ("0041-1-01", "main", "тожде")]
+    spark.createDataFrame(rows, "id string, part string, headword_key string").write.parquet(f"{tmp_path}/entries.parquet")
+    assert sorted(r.id for r in order_flags(spark, str(tmp_path)).collect()) == ["0021-1-01", "0022-1-01"]
+
+
 def test_pieces(spark):
     texts = spark.createDataFrame([(1, 10), (2, 4)], "id int, n int")
     spans = spark.createDataFrame([(1, 2, 6, "x"), (1, 4, 8, "y"), (1, 4, 20, "y")], "id int, s int, e int, kind string")
