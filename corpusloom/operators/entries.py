@@ -98,11 +98,21 @@ def split_entries(df: DataFrame, keys: list[str], text: str) -> DataFrame:
     return df.select(*dict.fromkeys([*keys, text])).mapInPandas(run, f"{types}, headword string, sep string, gram string, definition string, flags array<string>")
 
 
-def assembled(paragraphs: DataFrame, part: list[str], order: list[str], start: str, text: str) -> DataFrame:
+def assembled(paragraphs: DataFrame, part: list[str], order: list[str], start: str, text: str, piece: str | None = None) -> DataFrame:
     """part, first (the order key of the group's first paragraph), n, text: a paragraph that starts opens an entry, the
-    others go on with it, also over pages; a hyphen at a paragraph's end joins the halves of its word."""
-    w = Window.partitionBy(*part).orderBy(*order)
-    opened = F.sum(F.coalesce(F.col(start), F.lit(True)).cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    others go on with it, also over pages; a hyphen at a paragraph's end joins the halves of its word.
+
+    With ``piece``, the first column of the order, openings are counted per piece and offset by those of the pieces before
+    it, so that no task sees more than a piece (and a row per piece), though entries go on from one to the next."""
+    opens = F.coalesce(F.col(start), F.lit(True)).cast("int")
+    w = Window.partitionBy(*part, *([piece] if piece else [])).orderBy(*order)
+    opened = F.sum(opens).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    if piece:
+        before = F.sum("_n").over(Window.partitionBy(*part).orderBy(piece).rowsBetween(Window.unboundedPreceding, -1))
+        sizes = paragraphs.groupBy(*part, piece).agg(F.sum(opens).alias("_n"))
+        offsets = sizes.select(*part, piece, F.coalesce(before, F.lit(0)).alias("_b"))
+        paragraphs = paragraphs.join(offsets, [*part, piece])
+        opened = opened + F.col("_b")
     numbered = paragraphs.withColumn("_g", opened)
     rows = numbered.groupBy(*part, "_g").agg(F.array_sort(F.collect_list(F.struct(*order, F.coalesce(F.col(text), F.lit("")).alias("_t")))).alias("_rows"))
     pieces = F.transform("_rows", lambda r: r["_t"])

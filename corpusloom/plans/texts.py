@@ -123,9 +123,9 @@ def split_entries(spark, d):
 
 
 def assembled_entries(spark, d):
-    """Paragraphs of a leaf assembled to entries across its columns."""
+    """Paragraphs of the book assembled to entries across columns and leaves; ``leaf`` is that of the first paragraph."""
     p = table(spark, d, "paragraphs").groupBy("leaf", "col", "para").agg(F.max("hanging").alias("hanging"), F.max("text_d").alias("text_d"))
-    return E.assembled(p, ["leaf"], ["col", "para"], "hanging", "text_d")
+    return E.assembled(p, [], ["leaf", "col", "para"], "hanging", "text_d", "leaf").withColumnRenamed("first_leaf", "leaf")
 
 
 QUERIES = {

@@ -51,6 +51,23 @@ def test_groups_and_bands(spark):
     assert [r.text for r in assembled(text, ["p"], ["o"], "s", "t").orderBy("first_o").collect()] == ["аб", "в"]
 
 
+def test_entries_go_on_over_leaves(spark, tmp_path):
+    """Against one pass in the book's order; an entry may cover whole leaves and columns."""
+    from corpusloom.plans.texts import assembled_entries
+
+    rng = random.Random(8)
+    rows = [(leaf, col, k, rng.random() < 0.4, f"t{leaf}/{col}/{k}") for leaf in (9, 10, 11, 12, 14) for col in (1, 2) for k in range(1, rng.randrange(2, 5))]
+    rows = [(*r[:3], False, r[4]) if r[0] == 11 else r for r in rows]
+    spark.createDataFrame(rows[::-1], "leaf int, col int, para int, hanging boolean, text_d string").write.parquet(f"{tmp_path}/paragraphs.parquet")
+    want = []
+    for leaf, col, para, start, t in rows:
+        if start or not want:
+            want.append([leaf, col, para, 0, ""])
+        want[-1][3:] = [want[-1][3] + 1, f"{want[-1][4]} {t}".strip()]
+    got = assembled_entries(spark, str(tmp_path)).select("leaf", "first_col", "first_para", "n", "text").collect()
+    assert sorted(map(list, got)) == want
+
+
 def test_order_flags(spark):
     df = spark.createDataFrame([("m", 1, "а"), ("m", 2, "я"), ("m", 3, "б"), ("m", 4, None), ("m", 5, "в"), ("s", 1, "а")], "part string, o int, key string")
     got = {(r.part, r.o): r.in_order for r in O.out_of_order(df, "part", ["o"], "key").collect()}
