@@ -63,12 +63,15 @@ def clamped_spans(spark, d):
 
 
 def section_changes(spark, d):
-    """Leaves where the section or the letter differs from the leaf before (of the same hundred leaves)."""
-    m = table(spark, d, "manifest").groupBy("idx").agg(F.max("section").alias("section"), F.max("letter").alias("letter"))
-    m = m.withColumn("hundred", F.floor(F.col("idx") / 100).cast("int"))
-    w = Window.partitionBy("hundred").orderBy("idx")
-    new = m.select("idx", "section", "letter", F.lag("section").over(w).alias("before"), F.lag("letter").over(w).alias("letter_before"), F.row_number().over(w).alias("k"))
-    return new.where((F.col("k") > 1) & (~F.col("section").eqNullSafe(F.col("before")) | ~F.col("letter").eqNullSafe(F.col("letter_before")))).drop("k")
+    """Leaves where the section or the letter differs from the leaf before. The order is cut into hundreds of leaves; the
+    first of a hundred is compared with the last leaf of the hundred before that has any."""
+    m = table(spark, d, "manifest").groupBy("idx").agg(F.max("section").alias("section"), F.max("letter").alias("letter")).where("idx is not null")
+    m = m.withColumn("hundred", F.floor(F.col("idx") / 100).cast("int")).withColumn("own", F.struct("section", "letter"))
+    ends = m.groupBy("hundred").agg(F.max_by("own", "idx").alias("end"))
+    ends = ends.select("hundred", F.lag("end").over(Window.orderBy("hundred")).alias("carried"))  # a row per hundred leaves
+    was = F.coalesce(F.lag("own").over(Window.partitionBy("hundred").orderBy("idx")), F.col("carried"))
+    new = m.join(ends, "hundred").withColumn("was", was).where("was is not null and not (section <=> was.section and letter <=> was.letter)")
+    return new.select("idx", "section", "letter", F.col("was.section").alias("before"), F.col("was.letter").alias("letter_before"))
 
 
 def nearest_error(spark, d):

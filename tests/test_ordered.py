@@ -68,6 +68,16 @@ def test_entries_go_on_over_leaves(spark, tmp_path):
     assert sorted(map(list, got)) == want
 
 
+def test_section_changes_at_hundreds(spark, tmp_path):
+    """Also on the first leaf of a hundred, and where hundreds of leaves are missing."""
+    from corpusloom.plans.ordered import section_changes
+
+    rows = [(98, "main", "А"), (99, "main", "А"), (100, "main", "Б"), (101, "main", "Б"), (200, "main", "Б"), (500, None, "Б"), (600, None, "Б"), (600, None, None), (None, "x", "x")]
+    spark.createDataFrame(rows, "idx int, section string, letter string").write.parquet(f"{tmp_path}/manifest.parquet")
+    got = sorted((r.idx, r.section, r.letter, r.before, r.letter_before) for r in section_changes(spark, str(tmp_path)).collect())
+    assert got == [(100, "main", "Б", "main", "А"), (500, None, "Б", "main", "Б")]
+
+
 def test_order_flags(spark):
     df = spark.createDataFrame([("m", 1, "а"), ("m", 2, "я"), ("m", 3, "б"), ("m", 4, None), ("m", 5, "в"), ("s", 1, "а")], "part string, o int, key string")
     got = {(r.part, r.o): r.in_order for r in O.out_of_order(df, "part", ["o"], "key").collect()}
