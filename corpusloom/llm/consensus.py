@@ -29,11 +29,9 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusloom.operators.vote import CLASSES, annotator_name, answer_class, counting_answers  # noqa: F401
 from corpusloom.session import cut
 
-CLASSES = ("d", "b", "a", "x")
-# Other spellings of the answer that no witness reads rightly.
-NO_WITNESS = ("x", "none")
 #: Annotators whose rows are broadcast; beyond, the join is left to Spark.
 BROADCAST_ANNOTATORS = 100_000
 #: Pseudo-counts, as shares of an annotator's answers, that keep few answers from meaning certainty.
@@ -42,27 +40,9 @@ PRIOR_WEIGHT = 4.0
 PRIOR_RIGHT = 0.6
 
 
-def annotator_name(name: Column) -> Column:
-    return F.regexp_replace(F.trim(F.regexp_replace(F.lower(name), r"[^\p{L}\p{N}]+", " ")), " ", "-")
-
-
-def answer_class(label: Column) -> Column:
-    """d, b, a or x; NULL for empty and unsure answers."""
-    word = F.trim(F.regexp_replace(F.lower(label), r"[^\p{L}\p{N}]+", " "))
-    word = F.regexp_replace(word, r"^(?:wit|witness|text|read|reading) +", "")
-    return F.when(word.isin(*NO_WITNESS), "x").when(word.isin(*CLASSES), word)
-
-
 def answers(labels: DataFrame, items: DataFrame) -> DataFrame:
     """item_id, annotator, label: each annotator's counting answer to each item."""
-    named = labels.select(
-        "item_id",
-        annotator_name(F.col("annotator")).alias("annotator"),
-        F.struct("labelled_at", "received_at", "label_id", "label").alias("last"),
-    ).where(F.col("item_id").isNotNull() & (F.coalesce(F.col("annotator"), F.lit("")) != ""))
-    last = named.groupBy("item_id", "annotator").agg(F.max("last").alias("last"))
-    found = last.select("item_id", "annotator", answer_class(F.col("last.label")).alias("label"))
-    return found.where(F.col("label").isNotNull()).join(items.select("item_id").distinct(), "item_id", "left_semi")
+    return counting_answers(labels).join(items.select("item_id").distinct(), "item_id", "left_semi")
 
 
 def _each(name: str, f) -> dict[str, Column]:

@@ -16,6 +16,10 @@ _GREEK, _CYRILLIC, _LATIN = (re.compile(p) for p in ("[Ͱ-Ͽἀ-῿]", "[Ѐ-ԯ
 # Fixed value: Latin letters without a Cyrillic letter that looks like them.
 NO_TWIN = frozenset("bdfghjklmnqrstuvwzDFGIJLNQRSUVWYZ")
 
+CLASSES = ("d", "b", "a", "x")
+# Other spellings of the answer that no witness reads rightly.
+NO_WITNESS = ("x", "none")
+
 
 def base_rule(d: Column, b: Column, a: Column, c: Column) -> Column:
     """struct(reading, fixed, disputed): d stands unless b and a agree on something else and c does not side with d;
@@ -28,6 +32,29 @@ def base_rule(d: Column, b: Column, a: Column, c: Column) -> Column:
     return F.struct(F.when(fixed, b).otherwise(d).alias("reading"), fixed.alias("fixed"), ((b != d) & ~fixed).alias("disputed"))
 
 
+def annotator_name(name: Column) -> Column:
+    return F.regexp_replace(F.trim(F.regexp_replace(F.lower(name), r"[^\p{L}\p{N}]+", " ")), " ", "-")
+
+
+def answer_class(label: Column) -> Column:
+    """d, b, a or x; NULL for empty and unsure answers."""
+    word = F.trim(F.regexp_replace(F.lower(label), r"[^\p{L}\p{N}]+", " "))
+    word = F.regexp_replace(word, r"^(?:wit|witness|text|read|reading) +", "")
+    return F.when(word.isin(*NO_WITNESS), "x").when(word.isin(*CLASSES), word)
+
+
+def counting_answers(labels: DataFrame) -> DataFrame:
+    """item_id, annotator, label: each annotator's latest answer to each item (by ``labelled_at``, then ``received_at``,
+    then ``label_id``); one whose latest answer is empty or unsure has none."""
+    named = labels.select(
+        "item_id",
+        annotator_name(F.col("annotator")).alias("annotator"),
+        F.struct("labelled_at", "received_at", "label_id", "label").alias("last"),
+    ).where(F.col("item_id").isNotNull() & (F.coalesce(F.col("annotator"), F.lit("")) != ""))
+    last = named.groupBy("item_id", "annotator").agg(F.max("last").alias("last"))
+    return last.select("item_id", "annotator", answer_class(F.col("last.label")).alias("label")).where("label is not null")
+
+
 def majority(df: DataFrame, key: list[str], reader: str, value: str, order: list[str]) -> DataFrame:
     """key, value, votes: the value most readers have; ties go to the reader named first in ``order``."""
     rank = F.array_position(F.array(*map(F.lit, order)), F.col(reader))

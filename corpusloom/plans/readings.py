@@ -16,8 +16,8 @@ def _disputes(spark, d):
 
 
 def _answers(spark, d):
-    labels = table(spark, d, "dispute_labels").select("item_id", F.regexp_replace(F.trim(F.lower("annotator")), " ", "-").alias("annotator"), F.trim(F.lower("label")).alias("label"))
-    return labels.where(F.col("label").isin("d", "b", "a", "x")).distinct()
+    """Each reader's latest answer to each item, in one spelling."""
+    return V.counting_answers(table(spark, d, "dispute_labels"))
 
 
 def word_votes(spark, d):
