@@ -1,119 +1,291 @@
-"""Entries out of page text: assembly across pages, the split into head and definition, repair with moved spans, flags."""
+"""Entries out of page text: assembly across pages, the split into head and definition, repair with moved spans, flags.
+
+Spans (disputed and italic places, printed lines) are given in the assembled text and moved once, at the end: every repair
+is a table of old offsets and the new ones, and the tables are chained (``Moves``).
+"""
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+import unicodedata
+from collections.abc import Iterable, Iterator
+from itertools import accumulate
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.functions.text import fixed_quotes, remap, tidied
+from corpusloom.functions.text import ABBREVIATION, SEPARATOR, civil, find, fixed_quotes, modern_key, tidied
 
-# The separators between head and definition, and marks of the parts of speech.
-SEPARATOR = re.compile(r"\s*(?:=|—|–|--|(?<=\S)-(?=\s)| - )\s*|\s*(?=\()")
-GRAMMAR = re.compile(r"^\s*(сущ\.|прил\.|гл\.|нар(?:ѣч)?\.|м\. ?р\.|ж\. ?р\.|ср\. ?р\.|\((?:съ )?греч\.[^)]*\))")
-PROVISIONAL, READ = 80, 3
-FLAGS = ("no_separator", "long_head", "mixed_script", "unbalanced_quotes", "unbalanced_parens", "empty_definition")
-_MIXED = re.compile("[A-Za-z][А-яѣѳѵі]|[А-яѣѳѵі][A-Za-z]|[α-ω][а-я]|[а-я][α-ω]")
+#: Characters in which a provisional head ends, and those beyond the last word of a known head where its separator is.
+PROVISIONAL, BEYOND = 80, 3
+#: The share of a measured head that its words must make up, and the words of it that count.
+TRUSTED, HEAD_WORDS = 0.6, 4
+FLAGS = ("hw_provisional", "hw_disputed", "hw_missing", "guessed", "seg", "no_sep", "unconfirmed", "eq_from_A", "hw_from_A", "sep_lost", "sep_double", "empty",
+         "joined_null", "no_eq", "order", "parens", "odd_len", "quotes", "hw_cut", "caps", "script", "errata", "errata_missed")
+DASHES = ("—", "–", "--", "-")
 
+_SEPARATOR = re.compile(SEPARATOR)
+_LEFT_OVER = re.compile(r"\s*(=|—|–|--|-)\s*")
+_GLUED = re.compile(r"(?<=\S)-(?=\S)")
+_GRAMMAR = re.compile(rf"\([^()]{{1,60}}\)|{ABBREVIATION}(?=\.)")
+_SENSE = re.compile(r"(?:^|(?<=[\s=—;:,.]))(?:\d{1,2}|[а-я])\Z")
+_LETTERS = re.compile("[\u0370-\u03ff\u1f00-\u1fff\u0400-\u052fA-Za-z\u0300-\u036f]+")
+_GREEK, _CYRILLIC = re.compile("[\u0370-\u03ff\u1f00-\u1fff]"), re.compile("[\u0400-\u052f]")
+_ROMAN = str.maketrans({"Х": "X", "І": "I", "Ѵ": "V", "С": "C", "М": "M", "Д": "D", "П": "II", "Ш": "III"})
 
-def balanced(text: str) -> bool:
-    """Whether parentheses pair; a closing after a number is a sense number where nothing is open."""
-    depth = 0
-    for m in re.finditer(r"\d+\)|[()]", text):
+
+class Moves:
+    """Where the offsets of a text are after its repairs, as beginnings and as ends of spans."""
+
+    def __init__(self, length: int) -> None:
+        self.begin = self.end = list(range(length + 1))
+
+    def then(self, begin: list[int], end: list[int] | None = None) -> None:
+        self.begin, self.end = [begin[k] for k in self.begin], [(end or begin)[k] for k in self.end]
+
+    def spans(self, spans: Iterable) -> list[tuple[int, int]]:
+        """Spans where they are now; ones beyond the text are cut to it, none ends before it begins."""
+        last = len(self.begin) - 1
+        cut = ((max(0, min(s, last)), max(0, min(e, last))) for s, e in spans)
+        return [(self.begin[s], max(self.begin[s], self.end[e])) for s, e in cut]
+
+
+def joined(parts: list[dict]) -> dict:
+    """Paragraphs as one text, with the spans and printed lines of each moved: text, disputed, italic, lines, hyphens. A hyphen
+    at a paragraph's end (after no space) joins the halves of its word; others are joined by a space. A paragraph without
+    lines of its own counts as one line; one without text leaves its lines where the text ends."""
+    out = {"text": "", "disputed": [], "italic": [], "lines": [], "hyphens": []}
+    for part in parts:
+        text, lines = part["text"], part.get("lines") or []
+        so_far = out["text"]
+        if not text:
+            out["lines"] += [(len(so_far), len(so_far))] * len(lines)
+            out["hyphens"] += [h for _, h in lines]
+            continue
+        if so_far.endswith(("-", "¬")) and not so_far.endswith(" -"):
+            so_far = so_far[:-1]
+            out["lines"] = [(s, min(e, len(so_far))) for s, e in out["lines"]]
+        elif so_far:
+            so_far += " "
+        base = len(so_far)
+        out["text"] = so_far + text
+        for kind in ("disputed", "italic"):
+            out[kind] += [(s + base, e + base) for s, e in part.get(kind) or []]
+        lines = lines or [(0, text.endswith(("-", "¬")) and not text.endswith(" -"))]
+        begins = [min(at, len(text)) for at, _ in lines]
+        out["lines"] += [(s + base, max(s, e) + base) for s, e in zip(begins, [*begins[1:], len(text)])]
+        out["hyphens"] += [h for _, h in lines]
+    return out
+
+
+def corrected(text: str, errata: Iterable[tuple[str, str]]) -> Iterator[tuple[str, list[int], list[int]] | None]:
+    """The text after each correction (printed, read) with its tables, in turn; None where the printed words are not found.
+    What lay inside the replaced words is moved to their edges."""
+    for printed, read in errata:
+        place = find(text, printed) if printed else None
+        if place is None:
+            yield None
+            continue
+        s, e = place
+        shift = len(read) - (e - s)
+        after = [k + shift for k in range(e, len(text) + 1)]
+        before = list(range(s + 1))
+        inner = e - s - 1
+        text = text[:s] + read + text[e:]
+        yield text, before + [s] * inner + after if e > s else before + after[1:], before + [s + len(read)] * inner + after if e > s else before + after[1:]
+
+
+def word_span(text: str, number: int) -> tuple[int, int]:
+    """(start, end) of the numbered word between single spaces; beyond the last it is the last."""
+    words = text.split(" ")
+    ends = list(accumulate((len(w) + 1 for w in words)))
+    k = max(1, min(number, len(words))) - 1
+    return ends[k] - len(words[k]) - 1, ends[k] - 1
+
+
+def measured_end(text: str, reading: str) -> tuple[int, bool]:
+    """(where a head ends whose own reading is known, whether that can be relied on).
+
+    As many words as the reading has (``HEAD_WORDS`` at most), from the first word with letters among the first three; a hyphen
+    inside them that the reading lacks ends the head too, as it is a dash then. It is not relied on where what was found is much
+    shorter than the reading: its words are split."""
+    words = text.split(" ")
+    first = next((k for k in range(min(2, len(words) - 1)) if _LETTERS.search(words[k])), min(2, len(words) - 1))
+    start = word_span(text, first + 1)[0]
+    end = word_span(text, first + min(HEAD_WORDS, max(1, len(reading.split()))))[1]
+    if not _GLUED.search(reading.lstrip("—–- ")):
+        dash = _GLUED.search(text, start, end)
+        end = dash.start() if dash else end
+    return end, end - start >= TRUSTED * len(reading.strip())
+
+
+def _left_over(text: str, at: int) -> tuple[str, int]:
+    """A separator at a place where the head was cut by other means, and where the definition begins."""
+    m = _LEFT_OVER.match(text, at)
+    return (m.group(1), m.end()) if m else ("", at)
+
+
+def head_bounds(text: str, hint: dict | None) -> tuple[str, int, int, list[str]]:
+    """(separator, end of the head, start of the definition, flags).
+
+    A head that was read: the separator is sought from its last word to ``BEYOND`` characters after it. Else it is the first one
+    of the text's ``PROVISIONAL`` characters, unless the head was measured and ends well before it: that separator belongs to
+    the definition. Without one, the head ends where its words end, as read or as measured, and else there is no head."""
+    hint = hint or {}
+    read = (hint.get("headword") or "") if hint.get("source") else ""
+    measured = "" if read else (hint.get("measured") or "").strip()
+    bound, flags = None, []
+    if read:
+        lo, hi = word_span(text, len(read.split()))
+        found = _SEPARATOR.search(text, lo, min(len(text), hi + BEYOND))
+    else:
+        found = _SEPARATOR.search(text, 0, min(len(text), PROVISIONAL))
+        bound, sure = measured_end(text, measured) if measured else (None, False)
+        if found and sure and found.start() > bound + BEYOND:
+            found = None
+            flags.append("sep_lost")
+    if found:
+        sep, end = found.group().strip(), found.start()
+        return sep, end, end if sep == "(" else found.end(), flags
+    if read:
+        end, how = word_span(text, len(read.split()))[1], "hw_cut"
+    elif bound is not None:
+        end, how = bound, "eq_from_A" if hint.get("eq") else "hw_from_A"
+    else:
+        return "", 0, 0, [*flags, "no_sep"]
+    sep, cut = _left_over(text, end)
+    return sep, end, cut, [*flags, how]
+
+
+def parentheses(text: str) -> tuple[int, int]:
+    """(left open, closing without opening); a closing after a sense number or letter is none where nothing is open."""
+    depth = stray = 0
+    for m in re.finditer(r"[()]", text):
         if m.group() == "(":
             depth += 1
         elif depth:
             depth -= 1
-        elif m.group() == ")":
-            return False
-    return depth == 0
+        else:
+            stray += not _SENSE.search(text[: m.start()])
+    return depth, stray
 
 
-def split_entry(text: str | None, head: str | None = None, italic: list[tuple[int, int]] = (), errata: list[tuple[str, str]] = ()) -> dict:
-    """headword, sep, gram, definition, italic (spans moved into the definition), flags.
+def balanced(text: str) -> bool:
+    return parentheses(text) == (0, 0)
 
-    The text is tidied and corrected (the first place of each correction), then cut at the first separator: within
-    ``PROVISIONAL`` characters, or from the end of a known head on. Dashes become "—"; an opening parenthesis stays with
-    the definition. Without a separator the head is the known one, or all up to the first space. Quotation marks are
-    paired in both parts."""
-    whole, moved = tidied(text or "")
-    spans = remap([(max(0, min(s, len(text or ""))), max(0, min(e, len(text or "")))) for s, e in italic], moved)
-    for printed, read in errata:
-        at = whole.find(printed) if printed else -1
-        if at >= 0:
-            shift = len(read) - len(printed)
-            end = at + len(printed)
-            table = [k if k <= at else min(k, at + len(read)) if k < end else k + shift for k in range(len(whole) + 1)]
-            whole = whole[:at] + read + whole[end:]
-            spans = remap(spans, table)
-    lo, hi = 0, PROVISIONAL
-    if head:
-        lo = max(0, min(len(head) - 1, len(whole)))
-        hi = len(head) + READ + PROVISIONAL // 4
-    m = SEPARATOR.search(whole, lo, min(len(whole), hi))
-    flags = []
-    if m and m.start() > 0:
-        hw, cut, sep = whole[: m.start()].strip(), m.end(), m.group().strip()
-        sep = "(" if not sep else "=" if sep == "=" else "—"
-    else:
-        flags.append("no_separator")
-        cut = len(head) if head and whole.startswith(head) else (whole + " ").find(" ")
-        hw, sep = whole[:cut].strip(), ""
-    while cut < len(whole) and whole[cut] == " ":
-        cut += 1
-    definition, spans = whole[cut:], [(max(0, s - cut), e - cut) for s, e in spans if e > cut]
-    definition, table, even = fixed_quotes(definition)
-    spans = remap(spans, table)
-    hw, _, _ = fixed_quotes(hw)
-    gram = GRAMMAR.match(definition)
-    if not even:
-        flags.append("unbalanced_quotes")
-    if not balanced(definition):
-        flags.append("unbalanced_parens")
-    if len(hw.split()) > 4:
-        flags.append("long_head")
-    if _MIXED.search(hw):
-        flags.append("mixed_script")
-    if not definition.strip():
-        flags.append("empty_definition")
-    return {"headword": hw, "sep": sep, "gram": gram.group(1) if gram else "", "definition": definition, "italic": spans, "flags": sorted(flags)}
+
+def letter_flags(text: str) -> set[str]:
+    """caps: a word mostly of capitals that is no Roman numeral; script: one of Greek and Cyrillic letters."""
+    found = set()
+    for m in _LETTERS.finditer(text):
+        bare = "".join(ch for ch in unicodedata.normalize("NFD", m.group()) if not unicodedata.combining(ch))
+        letters = [ch for ch in bare if ch.isalpha()]
+        capitals = sum(map(str.isupper, letters))
+        if len(letters) > 1 < capitals and capitals >= 0.7 * len(letters) and not re.fullmatch("[IVXLCDM]+", m.group().translate(_ROMAN)):
+            found.add("caps")
+        if len(letters) > 1 and _GREEK.search(bare) and _CYRILLIC.search(bare):
+            found.add("script")
+    return found
+
+
+def packed(spans: Iterable[tuple[int, int]], start: int, length: int) -> str:
+    """Spans that reach into the definition, in its offsets."""
+    return ";".join(f"{max(s, start) - start}-{e - start}" for s, e in spans if e > start and s < length)
+
+
+def split_entry(text: str | None, hint: dict | None = None, disputed: Iterable = (), italic: Iterable = (), lines: Iterable = (), hyphens: Iterable = (),
+                errata: Iterable[tuple[str, str]] = ()) -> dict:
+    """headword, hw_source, sep, gram, definition, disputed, italic, lines (packed), flags of an entry's text.
+
+    ``hint`` is what is known of its head: headword with its source, the reading ``measured`` in the head's own type, eq (a "="
+    was seen), check. The text is tidied and corrected, cut at its separator (a second one right after it is taken with it;
+    dashes are written "—", an opening parenthesis stays in the definition), and its quotation marks are paired, in the
+    definition and in the head each by itself."""
+    hint = hint or {}
+    source = text or ""
+    moves, flags = Moves(len(source)), set()
+    text, table = tidied(source)
+    moves.then(table)
+    for change in corrected(text, errata):
+        flags.add("errata" if change else "errata_missed")
+        if change:
+            text = change[0]
+            moves.then(*change[1:])
+    sep, end, cut, why = head_bounds(text, hint)
+    flags.update(why)
+    if sep and sep != "(":
+        second, after = _left_over(text, cut)
+        if second and text[after : after + 1].strip():
+            sep, cut = "=" if "=" in (sep, second) else sep, after
+            flags.add("sep_double")
+    rest, table, even = fixed_quotes(text[cut:])
+    moves.then([*range(cut), *(cut + k for k in table)])
+    text, table, _ = fixed_quotes(text[:cut] + rest, end)
+    moves.then(table)
+    end, cut = table[end], table[cut]
+    start = cut + len(text[cut:]) - len(text[cut:].lstrip())
+    definition = text[cut:].strip()
+    known = bool(hint.get("source"))
+    headword = (hint.get("headword") or "") if known else re.sub(r"^[\W_]+|[\s,;:.\-–—]+\Z", "", text[:end]).strip()
+    flags |= letter_flags(definition) | {
+        name
+        for name, holds in (
+            ("quotes", not even), ("empty", not text), ("parens", not balanced(definition)), ("hw_missing", not headword),
+            ("hw_provisional", not known), ("hw_disputed", known and hint.get("check") == "disputed"),
+        )
+        if holds
+    }
+    gram = _GRAMMAR.match(definition)
+    return {
+        "headword": headword,
+        "hw_source": ("manual" if hint["source"] == "manual" else "vision") if known else "D",
+        "sep": "—" if sep in DASHES else sep,
+        "gram": gram.group() if gram else "",
+        "definition": definition,
+        "disputed": packed(moves.spans(disputed), start, len(text)),
+        "italic": packed(moves.spans(italic), start, len(text)),
+        "lines": ";".join(f"{s - start}{'h' if h else ''}" for (s, _), h in zip(moves.spans(lines), hyphens)),
+        "flags": sorted(flags),
+    }
+
+
+FIELDS = ("headword", "hw_source", "sep", "gram", "definition", "disputed", "italic", "lines")
 
 
 def split_entries(df: DataFrame, keys: list[str], text: str) -> DataFrame:
-    """keys, headword, sep, gram, definition, flags of each row's text."""
-    types = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keys)
-    names = ["headword", "sep", "gram", "definition", "flags"]
+    """keys, the fields of ``split_entry`` and flags of each row's text, of which nothing else is known."""
+    types = ", ".join([*(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keys), *(f"{c} string" for c in FIELDS)])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = pdf[keys].copy()
             rows = [split_entry(t) for t in pdf[text]]
-            for name in names:
+            for name in (*FIELDS, "flags"):
                 out[name] = [r[name] for r in rows]
             yield out
 
-    return df.select(*dict.fromkeys([*keys, text])).mapInPandas(run, f"{types}, headword string, sep string, gram string, definition string, flags array<string>")
+    return df.select(*dict.fromkeys([*keys, text])).mapInPandas(run, f"{types}, flags array<string>")
 
 
-def assembled(paragraphs: DataFrame, part: list[str], order: list[str], start: str, text: str, piece: str | None = None) -> DataFrame:
-    """part, first (the order key of the group's first paragraph), n, text: a paragraph that starts opens an entry, the
-    others go on with it, also over pages; a hyphen at a paragraph's end joins the halves of its word.
-
-    With ``piece``, the first column of the order, openings are counted per piece and offset by those of the pieces before
-    it, so that no task sees more than a piece (and a row per piece), though entries go on from one to the next."""
-    opens = F.coalesce(F.col(start), F.lit(True)).cast("int")
+def group_numbers(paragraphs: DataFrame, part: list[str], order: list[str], opens: Column, piece: str | None = None, name: str = "_g") -> DataFrame:
+    """A running number of the group each paragraph belongs to; a paragraph that opens begins one. With ``piece``, the first
+    column of the order, openings are counted per piece and offset by those of the pieces before it, so that no task sees
+    more than a piece (and a row per piece), though groups go on from one to the next."""
+    one = F.coalesce(opens, F.lit(True)).cast("int")
     w = Window.partitionBy(*part, *([piece] if piece else [])).orderBy(*order)
-    opened = F.sum(opens).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    opened = F.sum(one).over(w.rowsBetween(Window.unboundedPreceding, 0))
     if piece:
         before = F.sum("_n").over(Window.partitionBy(*part).orderBy(piece).rowsBetween(Window.unboundedPreceding, -1))
-        sizes = paragraphs.groupBy(*part, piece).agg(F.sum(opens).alias("_n"))
-        offsets = sizes.select(*part, piece, F.coalesce(before, F.lit(0)).alias("_b"))
-        paragraphs = paragraphs.join(offsets, [*part, piece])
-        opened = opened + F.col("_b")
-    numbered = paragraphs.withColumn("_g", opened)
+        offsets = paragraphs.groupBy(*part, piece).agg(F.sum(one).alias("_n")).select(*part, piece, F.coalesce(before, F.lit(0)).alias("_b"))
+        return paragraphs.join(offsets, [*part, piece]).withColumn(name, opened + F.col("_b")).drop("_b")
+    return paragraphs.withColumn(name, opened)
+
+
+def assembled(paragraphs: DataFrame, part: list[str], order: list[str], start: str, text: str, piece: str | None = None) -> DataFrame:
+    """part, first (the order key of the group's first paragraph), n, text: a paragraph that starts opens an entry, the
+    others go on with it, also over pages; a hyphen at a paragraph's end joins the halves of its word."""
+    numbered = group_numbers(paragraphs, part, order, F.col(start), piece)
     rows = numbered.groupBy(*part, "_g").agg(F.array_sort(F.collect_list(F.struct(*order, F.coalesce(F.col(text), F.lit("")).alias("_t")))).alias("_rows"))
     pieces = F.transform("_rows", lambda r: r["_t"])
 
@@ -122,3 +294,55 @@ def assembled(paragraphs: DataFrame, part: list[str], order: list[str], start: s
 
     first = F.col("_rows")[0]
     return rows.select(*part, *[first[c].alias(f"first_{c}") for c in order], F.size("_rows").alias("n"), F.aggregate(pieces, F.lit(""), add).alias("text"))
+
+
+SPANS = "array<struct<s:int,e:int>>"
+#: What a paragraph brings to its entry.
+PARAGRAPH = f"id string, section string, page string, side string, text string, disputed {SPANS}, italic {SPANS}, lines array<struct<at:int,hyphen:boolean>>, hanging boolean, guessed boolean, seg string, odd boolean, headword string, source string, measured string, eq boolean, hint_check string, hinted boolean, errata array<struct<printed:string,read:string>>"
+
+
+def parsed_entries(paragraphs: DataFrame, order: list[str], piece: str) -> DataFrame:
+    """The table of entries of the paragraphs (``PARAGRAPH`` and the columns of the order), over columns and pages.
+
+    A hanging paragraph opens an entry unless its head was read and is none ("joined_null"). The entry has the place, the section
+    and the head of its first paragraph, the corrections of all, and its flags; the longest ordered run is flagged by
+    ``ordered.out_of_order`` afterwards. A text that begins without an opening is an entry of its own."""
+    none_there = F.col("source").isNotNull() & (F.col("source") != "") & F.col("headword").isNull()
+    opens = F.coalesce(F.col("hanging"), F.lit(False)) & ~F.coalesce(none_there, F.lit(False))
+    numbered = group_numbers(paragraphs.withColumn("_null", F.coalesce(none_there & F.col("hanging"), F.lit(False))), [], order, opens, piece)
+    names = [c.split()[0] for c in PARAGRAPH.split(", ")]
+    rows = numbered.groupBy("_g").agg(F.array_sort(F.collect_list(F.struct(*order, *names, "_null"))).alias("parts"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pd.DataFrame([_entry(list(parts)) for parts in pdf["parts"]], columns=["id", "part", "page", "col", *FIELDS, "flags"])
+
+    types = ", ".join(f"{c} string" for c in ("id", "part", "page", "col", *FIELDS))
+    return with_keys(rows.mapInPandas(run, f"{types}, flags array<string>"))
+
+
+def _pairs(spans) -> list[tuple[int, int]]:
+    return [] if spans is None else [(x["s"], x["e"]) for x in spans]
+
+
+def _entry(parts: list[dict]) -> dict:
+    first = parts[0]
+    whole = joined([
+        {"text": (p["text"] or "").strip(), "disputed": _pairs(p["disputed"]), "italic": _pairs(p["italic"]), "lines": [(x["at"], x["hyphen"]) for x in p["lines"]] if p["lines"] is not None else []}
+        for p in parts
+    ])
+    hint = {"headword": first["headword"], "source": first["source"], "measured": first["measured"], "eq": first["eq"], "check": first["hint_check"]}
+    errata = [(x["printed"], x["read"]) for p in parts if p["errata"] is not None for x in p["errata"]]
+    got = split_entry(whole["text"], hint, whole["disputed"], whole["italic"], whole["lines"], whole["hyphens"], errata)
+    more = {
+        "guessed": first["guessed"], "seg": first["seg"] == "CD", "unconfirmed": first["seg"] == "A", "no_eq": first["hinted"] and not first["eq"],
+        "joined_null": any(p["_null"] for p in parts[1:]), "odd_len": any(p["odd"] for p in parts),
+    }
+    flags = sorted({*got["flags"], *(name for name, holds in more.items() if holds)})
+    return {"id": first["id"], "part": first["section"], "page": first["page"], "col": first["side"], **got, "flags": flags}
+
+
+def with_keys(entries: DataFrame) -> DataFrame:
+    """The civil spelling and the look-up key of each head beside it."""
+    spelt = entries.withColumn("headword_civil", civil(F.col("headword")))
+    return spelt.withColumn("headword_key", modern_key(F.col("headword_civil")))

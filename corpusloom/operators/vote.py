@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 from functools import reduce
-from itertools import combinations
+from itertools import accumulate, combinations, groupby
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.functions.text import norm_char, normalised
+from corpusloom.functions.text import norm_char, norm_seq
 from corpusloom.operators.align import align
 
-_GREEK, _CYRILLIC, _LATIN = (re.compile(p) for p in ("[Ͱ-Ͽἀ-῿]", "[Ѐ-ԯꙀ-ꚟ]", "[A-Za-z]"))
+_GREEK, _CYRILLIC, _LATIN = (re.compile(p) for p in ("[\u0370-\u03ff\u1f00-\u1fff]", "[\u0400-\u052f]", "[A-Za-z]"))
 # Fixed value: Latin letters without a Cyrillic letter that looks like them.
-NO_TWIN = frozenset("bdfghjklmnqrstuvwzDFGIJLNQRSUVWYZ")
+NO_TWIN = frozenset("bdfghjklmnqrstuvwzDFGJLNQRSUVWYZ")
 
 CLASSES = ("d", "b", "a", "x")
 # Other spellings of the answer that no witness reads rightly.
@@ -77,94 +79,136 @@ def agreement(df: DataFrame, readers: list[str], truth: str) -> DataFrame:
     return one.select(F.explode(F.array(*parts)).alias("r")).select("r.*")
 
 
-def _distance(a: str, b: str) -> int:
-    return align(a, b)[0]
-
-
-def merge(d: str, b: str, a: str, c: str, lexicon: dict[str, int]) -> dict:
-    """The voted text of four witnesses of one passage: text, at (raw offset of each raw character of d in it), disputed
-    spans and the number of characters changed. The base rule holds for every character; a Latin word with a letter
-    that has no twin is changed only into a lexicon word or if b and c have the same word; a lone Greek letter in a
-    Cyrillic word, and an unaccented Greek run that b and a read as one lexicon word, are changed."""
-    seq, at = normalised(d)
-    others = []
-    for other in (b, a, c):
-        o_seq, _ = normalised(other)
-        _, _, pos = align(seq, o_seq)
-        ends = [*pos[1:], len(o_seq)]
-        begins = [0, *ends[:-1]] if ends else []
-        others.append(["".join(o_seq[s:e]) for s, e in zip(begins, ends)])
-    rb, ra, rc = others if seq else ([], [], [])
-    runs = [(m.start(), m.end()) for m in re.finditer(r"[^\W\d_]+", "".join(ch if len(ch) == 1 else "?" for ch in seq))]
-    run_of = {k: r for r in runs for k in range(*r)}
-
-    def word(reading: list[str], run: tuple[int, int]) -> str:
-        return "".join(reading[run[0] : run[1]]).strip("-.,;:()\"").lower()
-
-    def latin_ok(run: tuple[int, int]) -> bool:
-        letters = "".join(d[at[k]] for k in range(*run))
-        if not all(_LATIN.match(x) for x in letters) or not NO_TWIN.intersection(letters):
-            return True
-        w = word(rb, run)
-        return not _CYRILLIC.search(w) or w in lexicon or w == word(rc, run)
-
-    def greek_word(run: tuple[int, int]) -> str | None:
-        """The lexicon word that b (or a) has for an unaccented, wholly Greek run."""
-        raw = "".join(d[at[k]] for k in range(*run))
-        if not all("α" <= x <= "ω" or "Α" <= x <= "Ω" for x in raw):
+class Beside:
+    """What another witness has at each normal character of d: its normal and its raw characters, and the place of the
+    first of them (None without)."""
+
+    def __init__(self, seq: list[str], text: str) -> None:
+        other, at = norm_seq(text)
+        begins = align(seq, other)[2] if seq and other else [0] * len(seq)
+        spans = list(zip(begins, [*begins[1:], len(other)]))
+        self.norm = ["".join(other[s:e]) for s, e in spans]
+        self.raw = [text[at[s] : at[e - 1] + 1] if e > s else "" for s, e in spans]
+        self.first = [at[s] if e > s else None for s, e in spans]
+
+
+def _bare(word: str) -> bool:
+    return not any(map(unicodedata.combining, unicodedata.normalize("NFD", word)))
+
+
+def _all(script: re.Pattern, word: str) -> bool:
+    return all(map(script.match, word))
+
+
+class Words:
+    """The printed words (runs of letters) of d, and what may be done to each; each is asked once."""
+
+    def __init__(self, d: str, seq: list[str], at: list[int], b: Beside, a: Beside, c: Beside, lexicon: dict[str, int]) -> None:
+        self.d, self.seq, self.b, self.a, self.c, self.lexicon = d, seq, b, a, c, lexicon
+        self.places = np.asarray(at, int)
+        letter = [ch.isalpha() or bool(unicodedata.combining(ch)) for ch in d]
+        numbers = np.arange(len(d))
+        # a place that is no letter counts to the word that ends before it
+        last_gap = np.maximum.accumulate(np.where(letter, -1, numbers)) if len(d) else numbers
+        self.begin = [int(last_gap[k - 1]) + 1 if k else 0 for k in range(len(d))]
+        next_gap = np.minimum.accumulate(np.where(letter, len(d), numbers)[::-1])[::-1] if len(d) else numbers
+        self.finish = next_gap.tolist()
+        self.latin, self.greek, self.soft = {}, {}, {}
+
+    def run(self, k: int) -> tuple[int, int]:
+        return self.begin[k], self.finish[k]
+
+    def _letters(self, run: tuple[int, int]) -> list[int]:
+        lo, hi = np.searchsorted(self.places, run)
+        return [k for k in range(lo, hi) if self.seq[k].isalpha()]
+
+    def _read(self, readings: list[str], run: tuple[int, int]) -> str:
+        return "".join(ch for k in self._letters(run) for ch in readings[k] if ch.isalpha()).lower()
+
+    def may_leave_latin(self, k: int) -> bool:
+        """A Latin word with a letter that has no twin is changed only into a Cyrillic word of the lexicon, into what the
+        fourth witness reads too, or into another Latin word."""
+        run = self.run(k)
+        if run not in self.latin:
+            word = self.d[slice(*run)]
+            ok = not _all(_LATIN, word) or NO_TWIN.isdisjoint(word)
+            if not ok:
+                read = self._read(self.b.raw, run)
+                ok = not _CYRILLIC.search(read) or read in self.lexicon or self._read(self.b.norm, run) == self._read(self.c.norm, run)
+            self.latin[run] = ok
+        return self.latin[run]
+
+    def may_leave_greek(self, k: int) -> bool:
+        """A Greek letter is changed in a word that is mostly Cyrillic, and in an unaccented one of which b and a read every
+        letter as the same Cyrillic one."""
+        run = self.run(k)
+        if run not in self.greek:
+            word = self.d[slice(*run)]
+            ok = len(_CYRILLIC.findall(word)) > len(_GREEK.findall(word))
+            if not ok and _bare(word):
+                some = self._letters(run)
+                ok = len(some) > 1 and all(self.a.norm[x] == self.b.norm[x] and _CYRILLIC.match(self.b.norm[x]) for x in some)
+            self.greek[run] = ok
+        return self.greek[run]
+
+    def instead(self, k: int) -> str | None:
+        """The lexicon's word for a whole unaccented Greek word: of two different ones the more frequent; b's if a reads
+        nearly the same or no word of the lexicon; a's if b reads nothing."""
+        run = self.run(k)
+        if run not in self.soft:
+            self.soft[run] = self._instead(run) if _all(_GREEK, self.d[slice(*run)]) and _bare(self.d[slice(*run)]) else None
+        return self.soft[run]
+
+    def _instead(self, run: tuple[int, int]) -> str | None:
+        said = {name: self._read(w.raw, run) for name, w in (("b", self.b), ("a", self.a))}
+        known = {n: w for n, w in said.items() if len(w) >= 3 and _all(_CYRILLIC, w) and w in self.lexicon}
+        if len(set(known.values())) == 2:
+            who = max(known, key=lambda n: (self.lexicon[known[n]], known[n]))
+        elif "b" in known and (align(said["a"], said["b"])[0] <= 1 or said["a"] not in self.lexicon):
+            who = "b"
+        elif "a" in known and "b" not in known and not said["b"]:
+            who = "a"
+        else:
             return None
-        wb, wa = (w if len(w) >= 3 and all(_CYRILLIC.match(x) for x in w) and w in lexicon else None for w in (word(rb, run), word(ra, run)))
-        if wb and wa and wb != wa:
-            return max((wb, wa), key=lambda w: (lexicon[w], w))
-        if wb and (_distance(word(rb, run), word(ra, run)) <= 1 or not wa):
-            return wb
-        return wa if wa and not word(rb, run) else None
-
-    out, new_at, disputed, changed = [], {}, [], 0
-    place = [0] * (len(d) + 1)
-    whole: dict[tuple[int, int], str | None] = {}
-    choice: dict[int, str | None] = {}
-    for k, dn in enumerate(seq):
-        run = run_of.get(k)
-        if run and _GREEK.match(dn) and rb[k] != dn:
-            if run not in whole:
-                whole[run] = greek_word(run)
-            if whole[run]:
-                choice[k] = whole[run] if k == run[0] else ""
-                changed += 1
-                continue
-        if rb[k] == dn:
+        printed = "".join({"b": self.b, "a": self.a}[who].raw[k] for k in self._letters(run)).strip().strip(".,;:")
+        return printed if printed.lower() == known[who] else known[who]
+
+
+def merge(d: str, b: str, a: str, c: str, lexicon: dict[str, int], italic: list[bool] | None = None) -> dict:
+    """The voted text of four witnesses of one passage: text; at (for each offset of d, and its end, the offset in the
+    text); disputed (s, e, fixed) for every place where b differs from d; fixed, the number of those that were changed; and
+    per character of the text whether a's character there is italic (None where a was not asked).
+
+    d stands unless b and a agree on something else and c does not side with d. Two confusions are believed without c ("="
+    that b has and d lacks; ъ for ь), and so is Cyrillic for Greek where ``Words.may_leave_greek``; Latin words are guarded by
+    ``Words.may_leave_latin``; an unaccented Greek word that is a word of the lexicon to b or a is replaced whole. What is
+    changed takes b's characters as b has them."""
+    seq, at = norm_seq(d)
+    wb, wa, wc = (Beside(seq, text) for text in (b, a, c))
+    words = Words(d, seq, at, wb, wa, wc, lexicon)
+    pieces, told, slanted = list(d), {}, [None] * len(d)
+    for raw, group in groupby(range(len(seq)), key=at.__getitem__):
+        ks = list(group)
+        dn, bn, an, cn = ("".join(x[k] for k in ks) for x in (seq, wb.norm, wa.norm, wc.norm))
+        slanted[raw] = bool(italic) and any(wa.first[k] is not None and italic[wa.first[k]] for k in ks)
+        if bn == dn:
             continue
-        greek_in_word = bool(
-            _GREEK.match(dn) and run and len(rb[k]) == 1 and _CYRILLIC.match(rb[k])
-            and sum(bool(_CYRILLIC.match(seq[x])) for x in range(*run)) > sum(bool(_GREEK.match(seq[x])) for x in range(*run))
-        )
-        believed = rc[k] != dn or ("=" in rb[k] and "=" not in dn) or {rb[k], dn} == {"ъ", "ь"} or greek_in_word
-        if rb[k] == ra[k] and believed and (run is None or latin_ok(run)):
-            choice[k] = rb[k]
-            changed += 1
-        else:
-            choice[k] = None
-    by_raw: dict[int, list[int]] = {}
-    for k, raw in enumerate(at):
-        by_raw.setdefault(raw, []).append(k)
-    for raw, ch in enumerate(d):
-        place[raw] = sum(map(len, out))
-        ks = by_raw.get(raw, [])
-        new = [choice[k] for k in ks if k in choice and choice[k] is not None]
-        piece = "".join(new) if new else ch
-        if any(k in choice and choice[k] is None for k in ks):
-            disputed.append((place[raw], place[raw] + len(piece)))
-        out.append(piece)
-    place[len(d)] = sum(map(len, out))
-    del new_at
-    spans: list[tuple[int, int]] = []
-    for s, e in disputed:
-        if spans and s <= spans[-1][1]:
-            spans[-1] = (spans[-1][0], max(e, spans[-1][1]))
-        elif s < e:
-            spans.append((s, e))
-    return {"text": "".join(out), "at": place, "disputed": spans, "fixed": changed}
+        greek = bool(_GREEK.match(dn))
+        whole = words.instead(raw) if greek else None
+        if whole is not None:
+            first = raw == words.run(raw)[0]
+            pieces[raw] = whole if first else ""
+            if first:
+                told[raw] = True
+            continue
+        believed = cn != dn or ("=" in bn and "=" not in dn) or {bn, dn} == {"ъ", "ь"} or (greek and _CYRILLIC.match(bn) and words.may_leave_greek(raw))
+        told[raw] = bool(bn == an and believed and words.may_leave_latin(raw))
+        if told[raw]:
+            pieces[raw] = "".join(wb.raw[k] for k in ks)
+    place = [0, *accumulate(map(len, pieces))]
+    spans = [(place[k], place[k + 1], fixed) for k, fixed in sorted(told.items())]
+    styles = [style for style, piece in zip(slanted, pieces) for _ in piece]
+    return {"text": "".join(pieces), "at": place, "disputed": spans, "fixed": sum(told.values()), "italic": styles}
 
 
 def confirmed_by(head: Column, **witness: Column) -> Column:

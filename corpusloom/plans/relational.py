@@ -14,26 +14,25 @@ KINDS = ("exact", "verb", "soft")
 
 def _entry_keys(spark: SparkSession, d: str) -> DataFrame:
     """id, key: every alternative of each entry's look-up key; empty keys are not indexed."""
-    e = table(spark, d, "entries").select("id", "headword_key").where("headword_key is not null").distinct()
-    parts = F.split(F.col("headword_key"), r"\s*,\s*|\s+или\s+|\s+и\s+")
-    return e.select("id", F.explode(F.array_distinct(F.transform(parts, lambda p: F.trim(p)))).alias("key")).where("key != ''")
+    e = table(spark, d, "entries").select("id", "headword_key").where("headword_key != ''").distinct()
+    return e.select("id", F.explode(X.head_alternatives(F.col("headword_key"))).alias("key"))
 
 
 def _lemma_keys(spark: SparkSession, d: str) -> DataFrame:
     p = table(spark, d, "dictionary_psv").select("lemma_id", "lemma", "pos").where("lemma is not null").distinct()
-    parts = F.split(X.lemma_key(F.col("lemma")), r"\s*,\s*")
-    parts = F.split(F.lower(X.strip_accents(F.regexp_replace("lemma", r"\s*\([^)]*\)\s*$", ""))), r"\s*,\s*")
-    return p.select("lemma_id", "pos", F.explode(F.array_distinct(F.transform(parts, lambda x: X.modern_key(x)))).alias("key")).where("key != ''")
+    keys = F.array_distinct(F.transform(X.lemma_alternatives(F.col("lemma")), lambda x: X.modern_key(X.civil(x))))
+    return p.select("lemma_id", "pos", F.explode(keys).alias("key")).where("key != ''")
 
 
 def link_cascade(spark, d):
-    """Dictionary words linked to entries by the first level that has hits: the same key, a verb's other form, the soft
-    key. Three equi-joins, of which the best level per word is kept."""
+    """Dictionary words linked to entries by the first level that has hits: the same key; a verb's other form, from either
+    side; the soft key. Equi-joins, of which the best level per word is kept."""
     e, p = _entry_keys(spark, d), _lemma_keys(spark, d)
     level = lambda n: F.lit(n).alias("level")
     exact = p.join(e, "key").select("lemma_id", "id", level(0))
-    verbs = p.where(F.lower("pos").startswith("v")).select("lemma_id", F.explode(X.verb_forms(F.col("key"))).alias("key"))
-    verb = verbs.join(e, "key").select("lemma_id", "id", level(1))
+    there = p.select("lemma_id", F.explode(X.verb_forms(F.col("key"))).alias("key")).join(e, "key")
+    back = e.select("id", F.explode(X.verb_forms(F.col("key"), head=True)).alias("key")).join(p, "key")
+    verb = there.select("lemma_id", "id", level(1)).unionByName(back.select("lemma_id", "id", level(1)))
     soft = p.select("lemma_id", X.soft_key(F.col("key")).alias("key")).join(e.select("id", X.soft_key(F.col("key")).alias("key")), "key")
     every = exact.unionByName(verb).unionByName(soft.select("lemma_id", "id", level(2))).groupBy("lemma_id", "id").agg(F.min("level").alias("level"))
     best = every.groupBy("lemma_id").agg(F.min("level").alias("level"))
@@ -179,19 +178,26 @@ QUERIES = {
 }
 
 _LEAF = "split_part(id, '-', 1)::INT"
-_EK = r"""ek AS (SELECT DISTINCT id, trim(k, ' ') AS key FROM (SELECT id, unnest(regexp_split_to_array(headword_key, '\s*,\s*|\s+или\s+|\s+и\s+')) AS k FROM entries WHERE headword_key IS NOT NULL) WHERE trim(k, ' ') <> '')"""
-_MODERN = r"""trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(translate(replace(replace(x, 'аѵ', 'ав'), 'еѵ', 'ев'), 'ѣіѳѵ', 'еифи'), 'ъ([\s\-,;])', '\1', 'g'), 'ъ$', ''), '[^\p{L}\p{N}_\s\-]', '', 'g'), '\s+', ' ', 'g'))"""
-_LK = rf"""lk AS (SELECT DISTINCT lemma_id, pos, {_MODERN} AS key FROM (SELECT lemma_id, pos,
-    unnest(regexp_split_to_array(lower(replace(regexp_replace(lemma, '\s*\([^)]*\)\s*$', ''), chr(769), '')), '\s*,\s*')) AS x FROM dictionary_psv WHERE lemma IS NOT NULL)),
-    pk AS (SELECT * FROM lk WHERE key <> '')"""
-_VERB = """vk AS (SELECT lemma_id, unnest(list_filter([
-    CASE WHEN key LIKE '%овати' THEN left(key, length(key) - 5) || 'ую' END, CASE WHEN key LIKE '%ати' THEN left(key, length(key) - 3) || 'аю' END,
-    CASE WHEN key LIKE '%ети' THEN left(key, length(key) - 3) || 'ею' END, CASE WHEN key LIKE '%ити' THEN left(key, length(key) - 3) || 'ю' END,
-    CASE WHEN key LIKE '%ую' THEN left(key, length(key) - 2) || 'овати' END, CASE WHEN key LIKE '%аю' THEN left(key, length(key) - 2) || 'ати' END,
-    CASE WHEN key LIKE '%ею' THEN left(key, length(key) - 2) || 'ети' END], lambda v: v IS NOT NULL)) AS key FROM pk WHERE lower(pos) LIKE 'v%')"""
+_EK = r"""eh AS (SELECT DISTINCT id, headword_key AS k FROM entries WHERE headword_key <> ''),
+    ep AS (SELECT id, trim(unnest(regexp_split_to_array(k, ',\s*|\s+или\s+|\s+и\s+')), ' ') AS key FROM eh),
+    ek AS (SELECT id, k AS key FROM eh UNION SELECT id, key FROM ep WHERE key <> '' AND NOT starts_with(key, '-'))"""
+_CIVIL = X.civil_sql("x")
+_MODERN = rf"""trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(translate(replace(replace(lower({_CIVIL}), 'аѵ', 'ав'), 'еѵ', 'ев'), 'ѣіѳѵ', 'еифи'), 'ъ([\s\-,;])', '\1', 'g'), 'ъ$', ''), '[^\p{{L}}\p{{N}}_\s\-]', '', 'g'), '\s+', ' ', 'g'))"""
+_LK = rf"""la AS (SELECT DISTINCT lemma_id, pos, lemma, regexp_split_to_array(regexp_replace(lemma, '\s*\([^)]*\)\s*$', ''), ',\s*') AS parts FROM dictionary_psv WHERE lemma IS NOT NULL),
+    lp AS (SELECT lemma_id, pos, trim(unnest(parts), ' ') AS p FROM la),
+    lx AS (SELECT lemma_id, pos, p AS x FROM lp WHERE p <> '' AND NOT ends_with(p, '(ся)') UNION SELECT lemma_id, pos, unnest([left(p, length(p) - 4) || 'ся', left(p, length(p) - 4)]) FROM lp WHERE ends_with(p, '(ся)')
+    UNION SELECT lemma_id, pos, lemma FROM la WHERE len(list_filter(parts, lambda y: trim(y, ' ') <> '')) = 0),
+    lk AS (SELECT DISTINCT lemma_id, pos, {_MODERN} AS key FROM lx), pk AS (SELECT * FROM lk WHERE key <> '')"""
+# the forms of a key x: its stem st (without -ти), its root ro (without the last letter), its tail (-ся)
+_FORMS = r"""SELECT {i}, x || tail AS key FROM (SELECT {i}, tail, unnest(list_filter([
+    CASE WHEN ti AND regexp_matches(st, '[ое]ва$') THEN left(st, length(st) - 3) || 'ую' END, CASE WHEN ti AND regexp_matches(st, '[иеая]$') THEN left(st, length(st) - 1) || 'ю' END,
+    CASE WHEN ti AND regexp_matches(st, '[иеая]$') THEN left(st, length(st) - 1) || 'у' END, CASE WHEN ti AND ends_with(st, 'ну') THEN st END, CASE WHEN ti THEN st || 'ю' END{back}], lambda v: v IS NOT NULL)) AS x
+    FROM (SELECT *, ends_with(b, 'ти') AS ti, regexp_replace(b, 'ти$', '') AS st, left(b, length(b) - 1) AS ro FROM (SELECT {i}, regexp_replace(key, 'с[яѧ]$', '') AS b, CASE WHEN regexp_matches(key, 'с[яѧ]$') THEN 'ся' ELSE '' END AS tail FROM {t})))"""
+_BACK = "".join(f", CASE WHEN NOT ti AND regexp_matches(b, '[юу]$') THEN ro || '{v}ти' END" for v in "иаея") + ", CASE WHEN NOT ti AND ends_with(b, 'ую') THEN left(b, length(b) - 2) || 'овати' END"
+_VERB = f"vk AS ({_FORMS.format(i='lemma_id', t='pk', back='')}), bk AS ({_FORMS.format(i='id', t='ek', back=_BACK)})"
 _SOFT = "translate(key, 'йьъ', 'и')"
 _LINK = f"""{_EK}, {_LK}, {_VERB}, every AS (
-    SELECT lemma_id, id, 0 AS level FROM pk JOIN ek USING (key) UNION ALL SELECT lemma_id, id, 1 FROM vk JOIN ek USING (key)
+    SELECT lemma_id, id, 0 AS level FROM pk JOIN ek USING (key) UNION ALL SELECT lemma_id, id, 1 FROM vk JOIN ek USING (key) UNION ALL SELECT lemma_id, id, 1 FROM pk JOIN bk USING (key)
     UNION ALL SELECT a.lemma_id, b.id, 2 FROM (SELECT lemma_id, {_SOFT} AS key FROM pk) a JOIN (SELECT id, {_SOFT} AS key FROM ek) b USING (key)),
     best AS (SELECT lemma_id, min(level) AS level FROM every GROUP BY lemma_id),
     link AS (SELECT DISTINCT lemma_id, id, CASE level WHEN 0 THEN 'exact' WHEN 1 THEN 'verb' ELSE 'soft' END AS match FROM every JOIN best USING (lemma_id, level))"""

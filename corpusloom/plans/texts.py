@@ -117,7 +117,7 @@ def unescaped_texts(spark, d):
 
 
 def split_entries(spark, d):
-    """Paragraphs split into head, separator, grammar and definition, with flags."""
+    """Paragraphs, of which nothing else is known, split into head, separator, grammar and definition, with flags."""
     p = table(spark, d, "paragraphs").select("para_id", "text_merged").where("text_merged is not null").distinct()
     return E.split_entries(p, ["para_id"], "text_merged")
 
@@ -134,12 +134,7 @@ QUERIES = {
               event_props, head_distances, normal_forms, unescaped_texts, split_entries, assembled_entries)
 }
 
-_SINGLE = {a: b for a, b in X.BOOK_LETTERS.items() if len(b) == 1}
-_CIVIL = "replace(replace(replace(headword, chr(769), ''), 'оу', 'у'), 'Оу', 'У')"
-for _a, _b in X.BOOK_LETTERS.items():
-    if len(_b) != 1:
-        _CIVIL = f"replace({_CIVIL}, '{_a}', '{_b}')"
-_CIVIL = f"translate({_CIVIL}, '{''.join(_SINGLE)}', '{''.join(_SINGLE.values())}')"
+_CIVIL = X.civil_sql("headword")
 _KEY = rf"trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(translate(replace(replace(lower({_CIVIL}), 'аѵ', 'ав'), 'еѵ', 'ев'), 'ѣіѳѵ', 'еифи'), 'ъ([\s\-,;])', '\1', 'g'), 'ъ$', ''), '[^\p{{L}}\p{{N}}_\s\-]', '', 'g'), '\s+', ' ', 'g'), ' ')"
 _H = "h AS (SELECT DISTINCT id, headword, headword_civil, headword_key FROM entries WHERE headword IS NOT NULL)"
 _D = "d AS (SELECT DISTINCT id, definition FROM entries WHERE definition IS NOT NULL)"
@@ -151,13 +146,15 @@ ORACLE = {
     "tidy_definitions": rf"""WITH {_D} SELECT id, regexp_replace(regexp_replace(regexp_replace(definition, ' $', ''), ' ([.,;:)])', '\1', 'g'), '([( ]) +', '\1', 'g') AS tidy,
         trim(regexp_replace(regexp_replace(regexp_replace(definition, '\s+([.,;:!?)])', '\1', 'g'), '\(\s+', '(', 'g'), '\s+', ' ', 'g'), ' ') AS clean FROM d""",
     "joined_lines": r"""SELECT para_id, replace(regexp_replace(text_d, '([^ \n])[-¬‐]\n', '\1', 'g'), chr(10), ' ') AS text FROM (SELECT DISTINCT para_id, text_d FROM paragraphs WHERE text_d IS NOT NULL)""",
-    "separator_split": r"""WITH p AS (SELECT DISTINCT para_id, text_merged AS t FROM paragraphs WHERE text_merged IS NOT NULL),
-        a AS (SELECT *, length(regexp_extract(t, '^(?s)(.*?)(=|—|–|--| - |\()', 1)) + 1 AS x, regexp_matches(t, '=|—|–|--| - |\(') AS m FROM p)
-        SELECT para_id, CASE WHEN m THEN x ELSE 0 END::INT AS at, CASE WHEN m THEN trim(left(t, x::INT - 1), ' ') END AS head, CASE WHEN m THEN trim(substr(t, x::INT + 1), ' ') END AS rest FROM a""",
+    "separator_split": rf"""WITH p AS (SELECT DISTINCT para_id, text_merged AS t FROM paragraphs WHERE text_merged IS NOT NULL),
+        m AS (SELECT *, [length(regexp_extract(t, '^(?s)(.*?)(?:=|—|–|--|\s-\s|\()', 1)), length(regexp_extract(t, '^(?s)(.*?\S)-\s*{X.ABBREVIATION}\.', 1)), length(regexp_extract(t, '^(?s)(.*?\.)\s?-\s?\S', 1))] AS x,
+        [regexp_matches(t, '=|—|–|--|\s-\s|\('), regexp_matches(t, '\S-\s*{X.ABBREVIATION}\.'), regexp_matches(t, '\.\s?-\s?\S')] AS h FROM p),
+        a AS (SELECT para_id, t, coalesce(list_min(list_transform(list_filter([1, 2, 3], lambda k: h[k]), lambda k: x[k] + 1)), 0)::INT AS x FROM m)
+        SELECT para_id, x AS "at", CASE WHEN x > 0 THEN trim(left(t, x - 1), ' ') END AS head, CASE WHEN x > 0 THEN trim(substr(t, x + 1), ' ') END AS rest FROM a""",
     "script_counts": r"""WITH h AS (SELECT DISTINCT id, headword FROM (SELECT DISTINCT id, headword, headword_civil, headword_key FROM entries WHERE headword IS NOT NULL))
         SELECT id, len(regexp_extract_all(headword, '\p{Cyrillic}'))::INT AS cyrillic, len(regexp_extract_all(headword, '\p{Latin}'))::INT AS latin, len(regexp_extract_all(headword, '\p{Greek}'))::INT AS greek,
         regexp_matches(headword, '\p{Latin}\p{Greek}|\p{Latin}\p{Cyrillic}|\p{Greek}\p{Latin}|\p{Greek}\p{Cyrillic}|\p{Cyrillic}\p{Latin}|\p{Cyrillic}\p{Greek}') AS mixed,
-        len(regexp_extract_all(headword, '\p{Lu}'))::INT AS capitals, regexp_full_match(translate(headword, 'ІХСМІѴ', 'IXCMIV'), '[IVXLCM]+') AS roman FROM h""",
+        len(regexp_extract_all(headword, '\p{Lu}'))::INT AS capitals, regexp_full_match(replace(replace(translate(headword, 'ХІѴСМД', 'XIVCMD'), 'П', 'II'), 'Ш', 'III'), '[IVXLCDM]+') AS roman FROM h""",
     "guide_words": rf"""WITH {_H}, e AS (SELECT split_part(id, '-', 1)::INT AS leaf, id, headword, left(regexp_replace(headword, '[^\p{{L}}]', '', 'g'), 3) || '—' AS g FROM h WHERE headword <> '')
         SELECT leaf, min_by(g, (id, headword)) AS first, max_by(g, (id, headword)) AS last FROM e GROUP BY leaf""",
     "packed_spans": f"""WITH e AS (SELECT id, definition, unnest({_SPANS.format(c='italic')}) AS x FROM (SELECT DISTINCT id, definition, italic FROM entries WHERE definition IS NOT NULL))
