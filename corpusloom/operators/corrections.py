@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusloom.functions.text import found_span
 from corpusloom.operators.align import align
 
 #: "Стран. 209, строка 45 сверху: напечатано X, слѣдуетъ читать Y."
@@ -21,25 +22,30 @@ def parsed(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
     return found.select(*keep, part(1).cast("int").alias("page"), part(2).cast("int").alias("line"), (part(3) == "снизу").alias("below"), part(4).alias("printed"), part(5).alias("read"))
 
 
-def located(corrections: DataFrame, lines: DataFrame, page: str, order: str, line_text: str) -> DataFrame:
-    """Corrections with the line they name (counted from the top or the bottom of the page, clamped to it), and how the
-    printed text is found: in that line ("line"), in the page's only line that has it ("page"), or not ("")."""
+def located(corrections: DataFrame, lines: DataFrame, page: str, order: str, paragraph: str, paragraphs: DataFrame, text: str) -> DataFrame:
+    """Corrections with the paragraph (``found_in``) they are to be made in, and how it was found: it is the one of the line
+    they name (counted from the top or the bottom of the page, clamped to it) and has the printed words ("line"); else it is
+    the page's only paragraph that has them ("page"); else it is the line's all the same ("miss"), or there is none ("").
+    Printed words are looked for as they are, in the normal form, and in letters alone (``text.found_span``)."""
     w = Window.partitionBy(page)
-    placed = lines.select(
-        page, order, line_text, F.row_number().over(w.orderBy(order)).alias("_top"), F.row_number().over(w.orderBy(F.desc(order))).alias("_bottom"), F.count("*").over(w).alias("_n")
-    )
+    placed = lines.select(page, F.col(paragraph).alias("_para"), F.row_number().over(w.orderBy(order)).alias("_top"), F.count("*").over(w).alias("_n"))
     sizes = placed.groupBy(page).agg(F.max("_n").alias("_n"))
-    c = corrections.withColumn("_c", F.monotonically_increasing_id()).withColumnRenamed("page", page) if page != "page" else corrections.withColumn("_c", F.monotonically_increasing_id())
-    c = c.join(sizes, page, "left").withColumn("_want", F.greatest(F.least("line", F.col("_n")), F.lit(1)))
-    c = c.withColumn("_top", F.when(F.col("below"), F.col("_n") - F.col("_want") + 1).otherwise(F.col("_want")))
-    at = c.join(placed.select(page, "_top", F.col(order).alias("at_line"), F.col(line_text).alias("_text")), [page, "_top"], "left")
-    words = placed.select(page, F.col(order).alias("_o"), F.col(line_text).alias("_t"))
-    having = c.join(words, page).where(F.col("_t").contains(F.col("printed"))).groupBy("_c").agg(F.count("*").alias("_hits"), F.min("_o").alias("_only"))
+    c = corrections.withColumn("_c", F.xxhash64(*corrections.columns)).join(sizes, page, "left")
+    want = F.greatest(F.least("line", F.col("_n")), F.lit(1))
+    c = c.withColumn("_top", F.when(F.col("below"), F.col("_n") - want + 1).otherwise(want)).drop("_n")
+    at = c.join(placed.drop("_n"), [page, "_top"], "left").drop("_top")
+    texts = paragraphs.select(page, F.col(paragraph).alias("_held"), F.col(text).alias("_text"))
+    tried = c.select("_c", page, "printed").join(texts, page)
+    exact = F.coalesce(F.col("_text").contains(F.col("printed")), F.lit(False))
+    near = tried.where(~exact).withColumn("_s", found_span("_text", "printed")["s"]).where("_s is not null")
+    held = tried.where(exact).select("_c", "_held").unionByName(near.select("_c", "_held"))
+    having = held.groupBy("_c").agg(F.collect_set("_held").alias("_all"))
     out = at.join(having, "_c", "left")
-    hit = F.coalesce(F.col("_text").contains(F.col("printed")), F.lit(False))
-    how = F.when(hit, "line").when(F.col("_hits") == 1, "page").otherwise("")
-    found = F.when(hit, F.col("at_line")).when(F.col("_hits") == 1, F.col("_only"))
-    return out.withColumn("how", how).withColumn("found_at", found).drop("_c", "_n", "_want", "_top", "_text", "_hits", "_only", "at_line")
+    hit = F.coalesce(F.array_contains("_all", F.col("_para")), F.lit(False))
+    only = F.coalesce(F.size("_all") == 1, F.lit(False))
+    how = F.when(hit, "line").when(only, "page").when(F.col("_para").isNotNull(), "miss").otherwise("")
+    found = F.when(~hit & only, F.element_at("_all", 1)).otherwise(F.col("_para"))
+    return out.withColumn("how", how).withColumn("found_in", found).drop("_c", "_all", "_para")
 
 
 def uncrossed(df: DataFrame, keys: list[str], a: str, b: str) -> DataFrame:
@@ -52,6 +58,23 @@ def uncrossed(df: DataFrame, keys: list[str], a: str, b: str) -> DataFrame:
     return df.where(F.col(a).isNotNull() & F.col(b).isNotNull()).withColumn("_ok", ok & alone).where("_ok").drop("_ok")
 
 
+def filled_gaps(anchors: DataFrame, a_all: DataFrame, b_all: DataFrame, keys: list[str], a: str, b: str) -> DataFrame:
+    """keys, a, b, anchored: the anchors, and between two of them (and before the first, after the last) the other places
+    of both sides in turn where both have as many."""
+    w = Window.partitionBy(*keys).orderBy(a)
+    number = anchors.select(*keys, a, b, F.row_number().over(w).alias("_gap"))
+
+    def in_gaps(every: DataFrame, x: str) -> DataFrame:
+        run = Window.partitionBy(*keys).orderBy(x).rowsBetween(Window.unboundedPreceding, 0)
+        at = every.select(*keys, x).distinct().join(number.select(*keys, x, "_gap"), [*keys, x], "left")
+        gap = at.withColumn("_in", F.coalesce(F.last("_gap", ignorenulls=True).over(run), F.lit(0))).where("_gap is null")
+        inside = Window.partitionBy(*keys, "_in")
+        return gap.select(*keys, "_in", x, F.row_number().over(inside.orderBy(x)).alias("_k"), F.count("*").over(inside).alias("_n"))
+
+    filled = in_gaps(a_all, a).join(in_gaps(b_all, b), [*keys, "_in", "_k", "_n"]).select(*keys, a, b, F.lit(False).alias("anchored"))
+    return number.select(*keys, a, b, F.lit(True).alias("anchored")).unionByName(filled)
+
+
 def list_scores(df: DataFrame, keys: list[str], truth: str, read: str) -> DataFrame:
     """keys, n, distance, exact: lists of words aligned as wholes, each word a symbol; a NULL list is empty."""
     types = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keys)

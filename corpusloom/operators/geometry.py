@@ -19,8 +19,9 @@ def iou(a: list[Column], b: list[Column]) -> Column:
 
 
 def best_overlaps(old: DataFrame, new: DataFrame, page: str, ident: str, least: float) -> DataFrame:
-    """page, old id, new id, iou: one-to-one matches of boxes of a page, each with its best partner where the choice is
-    mutual. Boxes are joined over the coarse cells they touch, not all with all."""
+    """page, old id, new id, iou: each old box with the new one it overlaps most (of equals the first), if by more than
+    ``least``. A new box is taken by the first of the old ones that want it; the others, and boxes that overlap none enough,
+    are orphans: their new id is NULL. Boxes are joined over the coarse cells they touch, not all with all."""
     cell = 500
 
     def cells(df: DataFrame, prefix: str) -> DataFrame:
@@ -31,10 +32,11 @@ def best_overlaps(old: DataFrame, new: DataFrame, page: str, ident: str, least:
 
     pairs = cells(old, "o").join(cells(new, "n"), [page, "_x", "_y"]).drop("_x", "_y").distinct()
     box = lambda p: [F.col(f"{p}_{c}").cast("double") for c in ("x0", "y0", "x1", "y1")]
-    scored = pairs.withColumn("iou", F.round(iou(box("o"), box("n")), 6)).where(F.col("iou") >= least)
-    by_o = F.row_number().over(Window.partitionBy(page, "o_id").orderBy(F.desc("iou"), "n_id"))
-    by_n = F.row_number().over(Window.partitionBy(page, "n_id").orderBy(F.desc("iou"), "o_id"))
-    return scored.withColumn("_a", by_o).withColumn("_b", by_n).where("_a = 1 and _b = 1").select(page, "o_id", "n_id", "iou")
+    scored = pairs.withColumn("iou", F.round(iou(box("o"), box("n")), 6)).where(F.col("iou") > least)
+    wanted = scored.groupBy(page, "o_id").agg(F.min_by(F.struct("n_id", "iou"), F.struct(-F.col("iou"), F.col("n_id"))).alias("_w")).select(page, "o_id", "_w.*")
+    first = wanted.groupBy(page, "n_id").agg(F.min_by(F.struct("o_id", "iou"), "o_id").alias("_t")).select(page, "n_id", "_t.*")
+    every = old.select(page, F.col(ident).alias("o_id")).distinct()
+    return every.join(first, [page, "o_id"], "left").select(page, "o_id", "n_id", "iou")
 
 
 def points_in_boxes(points: DataFrame, boxes: DataFrame, keys: list[str], x: str, y: str, slack: float = 1.0, cell: float = 200.0) -> DataFrame:
@@ -85,16 +87,54 @@ def mean_confidence(c: Column) -> Column:
     return F.coalesce(F.bround(F.avg(F.when(c >= 0, c))), F.lit(-1)).cast("int")
 
 
-def gutter(words: DataFrame, keys: list[str], width: str, step: float = 0.01) -> DataFrame:
-    """keys, gutter: the place between 0.35 and 0.65 of the width that the fewest words cover, the leftmost of equals."""
-    places = F.transform(F.sequence(F.lit(35), F.lit(65), F.lit(max(1, round(step * 100)))), lambda k: k / 100)
-    pages = words.select(*keys, F.col(width).alias("_w")).distinct()
-    grid = pages.withColumn("_f", F.explode(places)).withColumn("_x", F.col("_f") * F.col("_w"))
-    cover = words.select(*keys, "x0", "x1", F.explode(places).alias("_f"), F.col(width).alias("_w"))
-    cover = cover.where(F.col("x0").cast("double") < F.col("_f") * F.col("_w")).where(F.col("x1") > F.col("_f") * F.col("_w"))
-    counts = cover.groupBy(*keys, "_f").agg(F.count("*").alias("_n"))
-    both = grid.join(counts, [*keys, "_f"], "left").withColumn("_n", F.coalesce("_n", F.lit(0)))
-    return both.groupBy(*keys).agg(F.min(F.struct("_n", "_x")).alias("_b")).select(*keys, F.round(F.col("_b._x"), 3).alias("gutter"), F.col("_b._n").alias("covered"))
+def gutter(words: DataFrame, keys: list[str], width: str, steps: int = 400) -> DataFrame:
+    """keys, gutter, covered: the place between 0.35 and 0.65 of the width, in steps of a 400th of it (a pixel at least), that
+    the fewest words cover; of equals the nearest to the middle, then the leftmost. Places are only counted where a word
+    begins or ends to cover them: a word is a range of places, counted by its two ends."""
+    pages = words.select(*keys, F.col(width).cast("double").alias("_w")).distinct()
+    step = F.greatest(F.lit(1), F.floor(F.col("_w") / steps))
+    lo, hi = F.floor(0.35 * F.col("_w")), F.floor(0.65 * F.col("_w"))
+    pages = pages.withColumn("_s", step).withColumn("_lo", lo).withColumn("_m", F.ceil((hi - lo) / step) - 1)
+    first = F.greatest(F.floor((F.col("x0") - F.col("_lo")) / F.col("_s")) + 1, F.lit(0))
+    last = F.least(F.ceil((F.col("x1") - F.col("_lo")) / F.col("_s")) - 1, F.col("_m"))
+    spans = words.select(*keys, "x0", "x1").join(pages, keys).select(*keys, first.alias("_a"), last.alias("_b")).where("_a <= _b")
+    ends = spans.select(*keys, F.col("_a").alias("_k"), F.lit(1).alias("_d")).unionByName(spans.select(*keys, (F.col("_b") + 1).alias("_k"), F.lit(-1).alias("_d")))
+    places = pages.where("_m >= 0").select(*keys, "_w", "_s", "_lo", F.explode(F.sequence(F.lit(0), F.col("_m"))).alias("_k"))
+    changes = places.join(ends.groupBy(*keys, "_k").agg(F.sum("_d").alias("_d")), [*keys, "_k"], "left")
+    covered = F.sum(F.coalesce("_d", F.lit(0))).over(Window.partitionBy(*keys).orderBy("_k").rowsBetween(Window.unboundedPreceding, 0))
+    at = F.col("_lo") + F.col("_k") * F.col("_s")
+    best = changes.withColumn("_n", covered).groupBy(*keys).agg(F.min(F.struct("_n", F.abs(at - F.col("_w") / 2).alias("_off"), at.alias("_x"))).alias("_b"))
+    return best.select(*keys, F.col("_b._x").alias("gutter"), F.col("_b._n").alias("covered"))
+
+
+def body_gutter(lines: DataFrame, keys: list[str], width: str) -> DataFrame:
+    """keys, gutter: without a column rule, the place between 0.3 and 0.7 of the width, every ten pixels, that the fewest body
+    lines (over 300 wide) cross, of equals the one nearest the middle; none for pages of fewer than ten such lines or where
+    over a tenth of them cross it (a single column)."""
+    body = lines.where(F.col("x1") - F.col("x0") > 300).select(*keys, "x0", "x1", F.col(width).cast("double").alias("_w"))
+    pages = body.groupBy(*keys).agg(F.max("_w").alias("_w"), F.count("*").alias("_all")).where("_all >= 10")
+    places = pages.withColumn("_x", F.explode(F.sequence(F.floor(0.3 * F.col("_w")), F.ceil(0.7 * F.col("_w")) - 1, F.lit(10))))
+    crossed = places.join(body.drop("_w"), keys, "left").where("x0 < _x and x1 > _x").groupBy(*keys, "_x").agg(F.count("*").alias("_n"))
+    both = places.join(crossed, [*keys, "_x"], "left").withColumn("_n", F.coalesce("_n", F.lit(0)))
+    best = both.groupBy(*keys).agg(F.min(F.struct("_n", F.abs(F.col("_x") - F.col("_w") / 2).alias("_off"), "_x")).alias("_b"), F.max("_all").alias("_all"))
+    return best.where(F.col("_b._n") <= 0.1 * F.col("_all")).select(*keys, F.col("_b._x").cast("double").alias("gutter"))
+
+
+def column_rule(seps: DataFrame, keys: list[str], width: str) -> DataFrame:
+    """keys, g0, g1: the column rule x = g0 + g1 * y through the ends of the longest upright separator near the middle and of
+    those in line with it, weighted by their lengths, the slope within a hundredth. Separators are x0, y0, x1, y1."""
+    mid, tall = (F.col("x0") + F.col("x1")) / 2, F.abs(F.col("y1") - F.col("y0"))
+    upright = seps.withColumn("_mid", mid).withColumn("_l", tall).where((F.abs(F.col("x0") - F.col("x1")) < 60) & (F.col("_l") > 400))
+    upright = upright.where((F.col("_mid") > 0.3 * F.col(width)) & (F.col("_mid") < 0.7 * F.col(width)))
+    longest = upright.groupBy(*keys).agg(F.max_by("_mid", F.struct("_l", -F.col("_mid"))).alias("_at"))
+    some = upright.join(longest, keys).where(F.abs(F.col("_mid") - F.col("_at")) < 60)
+    ends = some.select(*keys, "_l", F.explode(F.array(F.struct(F.col("x0").alias("x"), F.col("y0").alias("y")), F.struct(F.col("x1").alias("x"), F.col("y1").alias("y")))).alias("_p"))
+    x, y, w = F.col("_p.x").cast("double"), F.col("_p.y").cast("double"), F.col("_l").cast("double")
+    sums = ends.groupBy(*keys).agg(F.sum(w).alias("_w"), F.sum(w * x).alias("_x"), F.sum(w * y).alias("_y"), F.sum(w * y * y).alias("_yy"), F.sum(w * x * y).alias("_xy"))
+    base = F.col("_yy") - F.col("_y") * F.col("_y") / F.col("_w")
+    slope = F.when(base > 1e-9, (F.col("_xy") - F.col("_x") * F.col("_y") / F.col("_w")) / base).otherwise(0.0)
+    slope = F.greatest(F.lit(-0.01), F.least(F.lit(0.01), slope))
+    return sums.withColumn("_g", slope).select(*keys, F.round((F.col("_x") - F.col("_g") * F.col("_y")) / F.col("_w"), 1).alias("g0"), F.round("_g", 5).alias("g1"))
 
 
 def reading_order(words: DataFrame, keys: list[str], width: str) -> DataFrame:
@@ -124,17 +164,20 @@ def skew_grid(lines: DataFrame, keys: list[str], indent: float, slopes: list[flo
     return got.groupBy(*keys).agg(best).select(*keys, (-F.col("_x._b")).alias("slope"), "_x.strength")
 
 
-def flush_level(lines: DataFrame, keys: list[str], level: str, start: str, choices: tuple[int, ...] = (-1, 0, 1)) -> DataFrame:
-    """keys, flush, f1, precision: the indent level that tells entry starts best against the evidence ``start``, accepted
-    with a precision of a half and three starts, or if all hit; groups without an accepted level have no row."""
-    each = lines.withColumn("flush", F.explode(F.array(*map(F.lit, choices))))
-    low = F.min(level).over(Window.partitionBy(*keys))
-    said = F.col(level) - F.col("_low") <= F.col("flush")
-    each = each.withColumn("_low", low).withColumn("_said", said)
+def flush_level(lines: DataFrame, keys: list[str], level: str, start: str) -> DataFrame:
+    """keys, flush, f1, precision: the indent level up to which lines start entries, that agrees best with the evidence
+    ``start`` (of equals the lowest). Levels -1 (none) and 0 are tried, and 1 where the lowest level has no more than two lines
+    or a twentieth of them. It is accepted with a precision of a half and three starts, or if all hit; where it says that no
+    line starts an entry, only if the evidence has none. Groups without an accepted level have no row."""
+    group = Window.partitionBy(*keys)
+    lines = lines.withColumn("_low", F.min(level).over(group)).withColumn("_of", F.count("*").over(group))
+    lowest = F.sum((F.col(level) == F.col("_low")).cast("int")).over(group)
+    choices = F.when(lowest <= F.greatest(F.lit(2.0), 0.05 * F.col("_of")), F.array(F.lit(-1), F.lit(0), F.lit(1))).otherwise(F.array(F.lit(-1), F.lit(0)))
+    each = lines.withColumn("_choices", choices).withColumn("flush", F.explode("_choices")).withColumn("_said", F.col(level) - F.col("_low") <= F.col("flush"))
     sums = each.groupBy(*keys, "flush").agg(
         F.sum((F.col("_said") & F.col(start)).cast("int")).alias("hit"), F.sum(F.col("_said").cast("int")).alias("said"), F.sum(F.col(start).cast("int")).alias("truth")
     )
-    f1 = F.when(F.col("said") + F.col("truth") > 0, 2 * F.col("hit") / (F.col("said") + F.col("truth"))).otherwise(0.0)
+    f1 = F.when(F.col("said") + F.col("truth") > 0, 2 * F.col("hit") / (F.col("said") + F.col("truth"))).otherwise(1.0)
     sums = sums.withColumn("f1", F.round(f1, 6)).withColumn("precision", F.round(F.when(F.col("said") > 0, F.col("hit") / F.col("said")), 6))
     best = sums.withColumn("_k", F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("f1"), "flush"))).where("_k = 1")
     return best.where("(precision >= 0.5 and said >= 3) or (said > 0 and hit = said) or (said = 0 and truth = 0)").select(*keys, "flush", "f1", "precision")

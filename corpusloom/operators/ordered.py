@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusloom.session import cut
+
 
 def _w(keys: list[str], order: list) -> Window:
     return Window.partitionBy(*keys).orderBy(*order)
@@ -79,49 +81,71 @@ def nearest_within(left: DataFrame, right: DataFrame, keys: list[str], x: str, y
     return left.join(best.select(*keys, x, F.col("_best").getField(y).alias(y)), [*keys, x], "left")
 
 
+class Runs:
+    """How long the longest non-decreasing run is that ends in each value, in turn: the values by which runs of each length
+    can end lowest are kept, and no more."""
+
+    def __init__(self) -> None:
+        self.lowest: list = []
+
+    def ending_in(self, value) -> int:
+        length = bisect_right(self.lowest, value) + 1
+        self.lowest[length - 1 : length] = [value]
+        return length
+
+
+class Backwards:
+    """Which values belong to the run, asked from the last to the first with the lengths of their runs: of each length the
+    last value before the one taken for the next length."""
+
+    def __init__(self, longest: int) -> None:
+        self.wanted = longest
+
+    def takes(self, length: int) -> bool:
+        taken = length == self.wanted
+        self.wanted -= taken
+        return taken
+
+
 def longest_ordered(values: list) -> list[bool]:
     """Which values belong to one longest non-decreasing subsequence (the one patience sorting ends with)."""
-    tops: list = []
-    top_at: list[int] = []
-    before: list[int] = []
-    for k, v in enumerate(values):
-        pile = bisect_right(tops, v)
-        before.append(top_at[pile - 1] if pile else -1)
-        if pile == len(tops):
-            tops.append(v)
-            top_at.append(k)
-        else:
-            tops[pile], top_at[pile] = v, k
-    kept = [False] * len(values)
-    k = top_at[-1] if top_at else -1
-    while k >= 0:
-        kept[k] = True
-        k = before[k]
-    return kept
-
-
-def out_of_order(df: DataFrame, part: str, order: list[str], key: str, block: int | None = None) -> DataFrame:
-    """Rows of each part with ``in_order``: whether they belong to a longest non-decreasing run of ``key``.
-
-    One part is one ordered scan; it streams through a task sorted by Spark, which keeps a pile top and a back pointer a
-    row. Rows without a key are not judged (NULL).
-    """
-    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    runs = Runs()
+    lengths = [runs.ending_in(v) for v in values]
+    back = Backwards(max(lengths, default=0))
+    return [back.takes(n) for n in reversed(lengths)][::-1]
+
+
+def scanned(df: DataFrame, part: str, order: list, column: str, kind: str, begin, step) -> DataFrame:
+    """df with a column made in one pass over each part in its order; rows stream through a task, which keeps the state
+    that ``begin`` makes for a part, and no rows."""
+    types = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields), f"{column} {kind}"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        parts = [b for b in batches if len(b)]
-        if not parts:
-            return
-        pdf = pd.concat(parts, ignore_index=True)
-        for _, g in pdf.groupby(part, sort=False, dropna=False):
-            some = g[key].notna()
-            out = g.copy()
-            flags = pd.Series([None] * len(g), index=g.index, dtype=object)
-            flags[some] = longest_ordered(list(g.loc[some, key]))
-            out["in_order"] = flags
-            yield out
-
-    return df.repartition(part).sortWithinPartitions(part, *order).mapInPandas(run, f"{types}, in_order boolean")
+        now, state = object(), None
+        for pdf in batches:
+            found = []
+            for row in pdf.itertuples(index=False):
+                here = getattr(row, part)
+                if here != now and not (here is None and now is None):
+                    now, state = here, begin(row)
+                found.append(step(state, row))
+            pdf[column] = pd.Series(found, index=pdf.index, dtype=object)
+            yield pdf
+
+    return df.repartition(part).sortWithinPartitions(part, *order).mapInPandas(run, types)
+
+
+def out_of_order(df: DataFrame, part: str, order: list[str], key: str) -> DataFrame:
+    """Rows of each part with ``in_order``: whether they belong to a longest non-decreasing run of ``key``. Rows without a key
+    are not judged (NULL). Two passes over each part in its order, forwards for the lengths of the runs and backwards for
+    the one that is kept; a task holds the lowest ends of runs, not the rows."""
+    judged = F.col(key).isNotNull()
+    forth = scanned(df.where(judged), part, order, "_run", "int", lambda row: Runs(), lambda runs, row: runs.ending_in(getattr(row, key)))
+    forth = cut(forth.withColumnRenamed("_run", "run_"))
+    longest = forth.groupBy(F.col(part).alias("part_")).agg(F.max("run_").alias("most_"))
+    back = forth.join(longest, F.col(part).eqNullSafe(F.col("part_"))).drop("part_")
+    back = scanned(back, part, [F.col(c).desc() for c in order], "in_order", "boolean", lambda row: Backwards(row.most_), lambda b, row: b.takes(row.run_))
+    return back.drop("run_", "most_").unionByName(df.where(~judged).withColumn("in_order", F.lit(None).cast("boolean")))
 
 
 def interval_pieces(texts: DataFrame, spans: DataFrame, key: str, length: str) -> DataFrame:

@@ -16,19 +16,26 @@ def errata_parsed(spark, d):
     return C.parsed(table(spark, d, "documents"), "text", ["doc_id"]).distinct()
 
 
-def _lines(spark, d):
-    """Lines by the page printed on their leaf, which is what corrections name; a leaf without a number has none."""
+def _paragraphs(spark, d):
+    """Paragraphs by the page printed on their leaf, which is what corrections name; a leaf without a number has none."""
     m = table(spark, d, "manifest").select(F.col("idx").alias("leaf"), F.trim("printed_page").try_cast("int").alias("page"))
     m = m.groupBy("leaf").agg(F.max("page").alias("page")).where("page is not null")
-    p = table(spark, d, "paragraphs").groupBy("leaf", "para_id").agg(F.max("text_d").alias("t")).join(m, "leaf")
-    return p.select("page", F.concat_ws(":", "para_id", F.lit("")).alias("p"), F.posexplode(F.split("t", "\n")).alias("k", "line_text")).select(
-        "page", F.concat("p", F.lpad(F.col("k").cast("string"), 3, "0")).alias("line_id"), "line_text"
-    )
+    return table(spark, d, "paragraphs").groupBy("leaf", "para_id").agg(F.max("text_d").alias("t")).join(m, "leaf").select("page", "para_id", "t")
 
 
 def errata_located(spark, d):
-    """Corrections with the line of the page they name, or the only line of the page that has the printed word."""
-    return C.located(errata_parsed(spark, d), _lines(spark, d), "page", "line_id", "line_text").select("doc_id", "page", "line", "below", "printed", "how", "found_at")
+    """Corrections with the paragraph of the line they name, or the only one of the page that has the printed words."""
+    p = _paragraphs(spark, d)
+    lines = p.select("page", "para_id", F.posexplode(F.split("t", "\n")).alias("k", "line_text"))
+    lines = lines.select("page", "para_id", F.concat("para_id", F.lpad(F.col("k").cast("string"), 4, "0")).alias("line_id"))
+    found = C.located(errata_parsed(spark, d), lines, "page", "line_id", "para_id", p, "t")
+    return found.select("doc_id", "page", "line", "below", "printed", "how", "found_in")
+
+
+def filled_breaks(spark, d):
+    """Line ends of the two texts paired: nearest ones that cross no other pair, and those between them in turn."""
+    a, b = _breaks(spark, d, "text_merged", "m"), _breaks(spark, d, "text_d", "t")
+    return C.filled_gaps(uncrossed_breaks(spark, d).select("para_id", "m", "t"), a, b, ["para_id"], "m", "t")
 
 
 def _breaks(spark, d, column, name):
@@ -81,13 +88,22 @@ def markdown_sections(spark, d):
     return keyed.groupBy("letter").agg(F.concat(F.lit("## "), F.first("letter"), F.lit("\n"), F.array_join(F.transform(rows, lambda r: r["line"]), "\n")).alias("text"))
 
 
-QUERIES = {f.__name__: f for f in (errata_parsed, errata_located, break_agreement, uncrossed_breaks, head_lists, verdicts_applied, markdown_sections)}
+QUERIES = {f.__name__: f for f in (errata_parsed, errata_located, break_agreement, uncrossed_breaks, filled_breaks, head_lists, verdicts_applied, markdown_sections)}
 
 _BREAKS = """{n}l AS (SELECT para_id, max({c}) AS t FROM paragraphs GROUP BY para_id), {n}r AS (SELECT para_id, unnest(range(length(t)))::INT AS x, t FROM {n}l WHERE t IS NOT NULL),
     {n} AS (SELECT para_id, x FROM {n}r WHERE substr(t, x + 1, 1) = chr(10))"""
 _B = f"{_BREAKS.format(n='bm', c='text_merged')}, {_BREAKS.format(n='bd', c='text_d')}"
 
+_NEAR = f"""{_B}, prs AS (SELECT para_id, m, t FROM (SELECT bm.para_id, bm.x AS m, bd.x AS t, row_number() OVER (PARTITION BY bm.para_id, bm.x ORDER BY abs(bm.x - bd.x), bd.x) AS k
+    FROM bm JOIN bd ON bm.para_id = bd.para_id AND abs(bm.x - bd.x) <= 15) WHERE k = 1),
+    unc AS (SELECT * FROM prs p WHERE NOT EXISTS (SELECT 1 FROM prs q WHERE q.para_id = p.para_id AND (q.m <> p.m OR q.t <> p.t) AND ((q.m <= p.m AND q.t >= p.t) OR (q.m >= p.m AND q.t <= p.t))))"""
+_GAP = """g{n} AS (SELECT para_id, x, (SELECT count(*) FROM unc u WHERE u.para_id = b{n}.para_id AND u.{c} < x) AS gap FROM b{n} WHERE NOT EXISTS (SELECT 1 FROM unc u WHERE u.para_id = b{n}.para_id AND u.{c} = x)),
+    n{n} AS (SELECT *, row_number() OVER (PARTITION BY para_id, gap ORDER BY x) AS k, count(*) OVER (PARTITION BY para_id, gap) AS n FROM g{n})"""
+
 ORACLE = {
+    "uncrossed_breaks": f"WITH {_NEAR} SELECT * FROM unc",
+    "filled_breaks": f"""WITH {_NEAR}, {_GAP.format(n='m', c='m')}, {_GAP.format(n='d', c='t')}
+        SELECT para_id, m, t, true AS anchored FROM unc UNION ALL SELECT a.para_id, a.x, b.x, false FROM nm a JOIN nd b USING (para_id, gap, k, n)""",
     "errata_parsed": r"""WITH x AS (SELECT doc_id, unnest(regexp_extract_all(text, 'Стран\. (\d+), строка (\d+)(?:—\d+)? (сверху|снизу): напечатано ([^,]+), слѣдуетъ читать ([^.]+)\.')) AS x FROM documents),
         y AS (SELECT doc_id, regexp_extract(x, 'Стран\. (\d+), строка (\d+)(?:—\d+)? (сверху|снизу): напечатано ([^,]+), слѣдуетъ читать ([^.]+)\.', ['a', 'b', 'c', 'd', 'e']) AS g FROM x)
         SELECT DISTINCT doc_id, g.a::INT AS page, g.b::INT AS line, g.c = 'снизу' AS below, g.d AS printed, g.e AS read FROM y""",

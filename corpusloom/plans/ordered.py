@@ -104,11 +104,12 @@ def head_cut(spark, d):
 
 
 def order_flags(spark, d):
-    """Entries whose head breaks the alphabetical order: not in the longest ordered run of their part of the book."""
-    e = table(spark, d, "entries").where("headword_key is not null and headword_key != '' and headword_key != 'тожде'")
-    e = e.groupBy("id", "part").agg(F.max("headword_key").alias("headword_key"))
+    """Entries whose civil head breaks the alphabetical order: not in the longest ordered run of their part of the book. Ditto
+    heads, which say nothing of the order, are left out."""
+    e = table(spark, d, "entries").where("headword_civil is not null and headword_civil != '' and coalesce(headword_key, '') != 'тожде'")
+    e = e.groupBy("id", "part").agg(F.max("headword_civil").alias("headword_civil"))
     place = F.transform(F.split("id", "-"), lambda x: x.try_cast("int"))  # leaves have four digits or more: not the order of the text
-    keyed = e.select("id", "part", X.collation_key(F.col("headword_key")).alias("key"), place.alias("place"))
+    keyed = e.select("id", "part", X.collation_key(F.col("headword_civil")).alias("key"), place.alias("place"))
     return O.out_of_order(keyed, "part", ["place", "id"], "key").where("not in_order").select("id", "part")
 
 

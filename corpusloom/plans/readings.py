@@ -66,24 +66,9 @@ def confirmed_heads(spark, d):
     return j.select("id", by.alias("confirmed_by"), F.when(F.length(by) > 0, "confirmed").otherwise("disputed").alias("check"))
 
 
-def merged_texts(spark, d):
-    """The vote of the witnesses on whole disputed words: text, changes and what stays disputed."""
-    import pandas as pd
-
-    def run(batches):
-        for pdf in batches:
-            rows = []
-            for item, a, b, c in pdf[["item_id", "read_d", "read_b", "read_a"]].itertuples(index=False, name=None):
-                m = V.merge(a or "", b or "", c or "", b or "", {})
-                rows.append((item, m["text"], m["fixed"], len(m["disputed"])))
-            yield pd.DataFrame(rows, columns=["item_id", "text", "fixed", "disputed"])
-
-    return _disputes(spark, d).mapInPandas(run, "item_id string, text string, fixed int, disputed int")
-
-
 QUERIES = {
     f.__name__: f
-    for f in (word_votes, majority_labels, reader_agreement, unanimous_items, witness_alignment, paragraph_cer, confirmed_heads, merged_texts)
+    for f in (word_votes, majority_labels, reader_agreement, unanimous_items, witness_alignment, paragraph_cer, confirmed_heads)
 }
 
 _DIS = "x AS (SELECT DISTINCT item_id, para_id, s, e, coalesce(read_d, '') AS d, coalesce(read_b, '') AS b, coalesce(read_a, '') AS a FROM disputes)"

@@ -40,19 +40,27 @@ def read_tsv(spark: SparkSession, path: str, schema: StructType | str | None = N
     return df.na.fill("")
 
 
+# Names of the two columns of a page, and notes of corrections that are to no entry's text.
+SIDES = {"лѣвый": "a", "правый": "b"}
+NO_TEXT = "guide word|page number|instruction|not text"
+
+
 def read_errata(spark: SparkSession, path: str) -> DataFrame:
-    """Corrections with printed and read text stripped, whether they can be used, and why not: doubtful ones (a question
-    mark), structural ones (no text to find) and ones without a locator cannot."""
+    """Corrections (all fields as text) with the side of the page, the printed and the read words without type marks, whether
+    they can be used, and why not: "doubtful" (a [?] in either), "not entry text" (by the note), "no locator" (no words to
+    find, no page number, no column or no line)."""
     names = "leaf string, row string, page string, line string, `where` string, col string, printed string, read string, note string"
-    df = read_tsv(spark, path, names)
-    strip = lambda c: F.regexp_replace(F.trim(F.coalesce(F.col(c), F.lit(""))), r"^[.,;:…\s]+|[.,;:…\s]+$", "")
-    df = df.withColumn("printed_s", strip("printed")).withColumn("read_s", strip("read"))
-    why = (
-        F.when(F.coalesce("note", F.lit("")).contains("?"), "doubtful")
-        .when((F.col("printed_s") == "") | (F.col("read_s") == ""), "structural")
-        .when(~F.coalesce("line", F.lit("")).rlike(r"^\d"), "no place")
-    )
-    return df.withColumn("why", F.coalesce(why, F.lit(""))).withColumn("use", F.col("why") == "")
+    return usable_errata(read_tsv(spark, path, names))
+
+
+def usable_errata(df: DataFrame) -> DataFrame:
+    text = lambda c: F.coalesce(F.col(c), F.lit(""))
+    bare = lambda c: F.trim(F.translate(text(c), "{}", ""))
+    df = df.withColumn("printed_s", bare("printed")).withColumn("read_s", bare("read"))
+    side = F.create_map(*[F.lit(x) for pair in SIDES.items() for x in pair])[F.col("col")]
+    placed = (F.col("printed_s") != "") & text("page").rlike(r"^\d+$") & side.isNotNull() & (text("line") != "")
+    why = F.when(F.concat(text("printed"), text("read")).contains("[?]"), "doubtful").when(text("note").rlike(NO_TEXT), "not entry text").when(~F.coalesce(placed, F.lit(False)), "no locator")
+    return df.withColumn("side", side).withColumn("why", F.coalesce(why, F.lit(""))).withColumn("use", F.col("why") == "")
 
 
 def read_segmentation(spark: SparkSession, path: str) -> DataFrame:

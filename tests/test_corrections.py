@@ -12,10 +12,11 @@ def test_corrections(spark):
     docs = spark.createDataFrame([(1, text), (2, None), (3, ""), (4, "Стран. 2, строка 1 снизу: напечатано домъ, слѣдуетъ читать дома.")], "doc_id int, text string")
     parsed = C.parsed(docs, "text", ["doc_id"])
     assert sorted((r.line, r.below, r.printed, r.read) for r in parsed.collect()) == [(1, False, "столпь", "столпъ"), (1, True, "домъ", "дома"), (9, True, "вода", "воды")]
-    lines = spark.createDataFrame([(2, "a", "столпь стоитъ"), (2, "b", "вода"), (2, "c", "рыба")], "page int, o string, t string")
-    got = {r.printed: (r.how, r.found_at) for r in C.located(parsed, lines, "page", "o", "t").collect()}
-    assert got == {"столпь": ("line", "a"), "вода": ("page", "b"), "домъ": ("", None)}
-    assert {r.how for r in C.located(parsed, lines.limit(0), "page", "o", "t").collect()} == {""}
+    lines = spark.createDataFrame([(2, "a", "p"), (2, "b", "q"), (2, "c", "r")], "page int, o string, para string")
+    texts = spark.createDataFrame([(2, "p", "сто- лпь стоитъ"), (2, "q", "вода"), (2, "r", "рыба")], "page int, para string, t string")
+    found = lambda ls: {r.printed: (r.how, r.found_in) for r in C.located(parsed, ls, "page", "o", "para", texts, "t").collect()}
+    assert found(lines) == {"столпь": ("line", "p"), "вода": ("page", "q"), "домъ": ("miss", "r")}
+    assert found(lines.limit(0)) == {"столпь": ("page", "p"), "вода": ("page", "q"), "домъ": ("", None)}
 
 
 def test_pages_beyond_a_small_book(spark, tmp_path):
@@ -27,8 +28,8 @@ def test_pages_beyond_a_small_book(spark, tmp_path):
     spark.createDataFrame([(310, "300"), (310, None), (48, "48"), (7, "XIV")], "idx int, printed_page string").write.parquet(f"{tmp_path}/manifest.parquet")
     lines = [(310, "0310-1-01", "рыба\nвода"), (48, "0048-1-01", "вода\nвода"), (7, "0007-1-01", "домъ")]
     spark.createDataFrame(lines, "leaf int, para_id string, text_d string").write.parquet(f"{tmp_path}/paragraphs.parquet")
-    got = {r.page: (r.how, r.found_at) for r in errata_located(spark, str(tmp_path)).collect()}
-    assert got == {300: ("line", "0310-1-01:001"), 7: ("", None)}
+    got = {r.page: (r.how, r.found_in) for r in errata_located(spark, str(tmp_path)).collect()}
+    assert got == {300: ("line", "0310-1-01"), 7: ("", None)}
 
 
 def test_uncrossed(spark):
@@ -58,3 +59,11 @@ def test_a_failing_batch_stays_alone(spark):
     got = {r.k: (r.answer, r.error) for r in C.asked(df, ["k"], "q", ask, 2).collect()}
     assert got[0] == ("Q0", None) and got[4] == ("Q4", None) and got[2][0] is None and "no answer" in got[3][1]
     assert df.select(F.count("*")).first()[0] == 6
+
+
+def test_filled_gaps(spark):
+    a = spark.createDataFrame([(1, x) for x in (2, 5, 9, 12, 20)], "k int, a int")
+    b = spark.createDataFrame([(1, x) for x in (3, 6, 9, 13, 14, 21)], "k int, b int")
+    anchors = spark.createDataFrame([(1, 9, 9), (1, 20, 21)], "k int, a int, b int")
+    got = sorted((r.a, r.b, r.anchored) for r in C.filled_gaps(anchors, a, b, ["k"], "a", "b").collect())
+    assert got == [(2, 3, False), (5, 6, False), (9, 9, True), (20, 21, True)]  # one line against two is left alone

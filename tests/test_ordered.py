@@ -90,8 +90,8 @@ def test_order_flags_over_a_whole_part(spark, tmp_path):
     from corpusloom.plans.ordered import order_flags
 
     heads = {"0011-1-01": "а", "0012-1-01": "б", "0021-1-01": "я", "0022-1-01": "я", "0031-1-01": "в", "9999-1-01": "г", "10000-1-01": "д", "10001-1-01": "е"}
-    rows = [(k, "main", v) for k, v in heads.items()] + [("0040-1-01", "supplement", "а"), ("0041-1-01", "main", "тожде")]
-    spark.createDataFrame(rows, "id string, part string, headword_key string").write.parquet(f"{tmp_path}/entries.parquet")
+    rows = [(k, "main", v, v) for k, v in heads.items()] + [("0040-1-01", "supplement", "а", None), ("0041-1-01", "main", "тожде", "тожде"), ("0042-1-01", "main", None, None)]
+    spark.createDataFrame(rows, "id string, part string, headword_civil string, headword_key string").write.parquet(f"{tmp_path}/entries.parquet")
     assert sorted(r.id for r in order_flags(spark, str(tmp_path)).collect()) == ["0021-1-01", "0022-1-01"]
 
 
@@ -105,7 +105,9 @@ def test_pieces(spark):
 def test_boxes(spark):
     old = spark.createDataFrame([(1, "a", 0, 0, 10, 10), (1, "b", 1000, 0, 1400, 100)], "page int, id string, x0 int, y0 int, x1 int, y1 int")
     new = spark.createDataFrame([(1, "p", 0, 0, 10, 11), (1, "q", 1, 0, 11, 10), (2, "a", 0, 0, 10, 10)], "page int, id string, x0 int, y0 int, x1 int, y1 int")
-    assert [(r.o_id, r.n_id) for r in G.best_overlaps(old, new, "page", "id", 0.3).collect()] == [("a", "p")]
+    assert sorted((r.o_id, r.n_id) for r in G.best_overlaps(old, new, "page", "id", 0.3).collect()) == [("a", "p"), ("b", None)]
+    more = old.unionByName(spark.createDataFrame([(1, "c", 0, 0, 10, 11)], old.schema))  # wants the box that the first one has
+    assert sorted((r.o_id, r.n_id) for r in G.best_overlaps(more, new, "page", "id", 0.3).collect()) == [("a", "p"), ("b", None), ("c", None)]
     points = spark.createDataFrame([(1, 5.0, 5.0), (1, 500.0, 5.0), (1, None, 1.0)], "page int, x double, y double")
     assert G.points_in_boxes(points, new, ["page"], "x", "y").count() == 2
 

@@ -25,8 +25,12 @@ def test_tsv(spark, tmp_path):
 
 
 def test_errata_and_segmentation(spark, tmp_path):
-    (tmp_path / "e.tsv").write_text("leaf\trow\tpage\tline\twhere\tcol\tprinted\tread\tnote\n1\t1\t2\t25\tсверху\tлѣвый\tстолпь.\tстолпъ.\t\n1\t2\t2\t\t\t\tа\tб\n1\t3\t2\t4\t\t\t\tб\tx\n", "utf-8")
-    assert [(r.printed_s, r.use, r.why) for r in S.read_errata(spark, str(tmp_path / "e.tsv")).collect()] == [("столпь", True, ""), ("а", False, "no place"), ("", False, "structural")]
+    rows = ["leaf\trow\tpage\tline\twhere\tcol\tprinted\tread\tnote", "1\t1\t2\t25\tсверху\tлѣвый\t{столпь}.\tстолпъ.\t", "1\t2\t2\t\t\t\tа\tб", "1\t3\t2\t4\t\tправый\tа[?]\tб\tx",
+            "1\t4\t2\t4\t\tправый\tа\tб\ta guide word", "1\t5\tIV\t4\t\tправый\tа\tб\t", "1\t6\t2\t4\t\tправый\t\tб\t"]
+    (tmp_path / "e.tsv").write_text("\n".join(rows) + "\n", "utf-8")
+    got = [(r.row, r.side, r.printed_s, r.use, r.why) for r in S.read_errata(spark, str(tmp_path / "e.tsv")).collect()]
+    assert got == [("1", "a", "столпь.", True, ""), ("2", None, "а", False, "no locator"), ("3", "b", "а[?]", False, "doubtful"), ("4", "b", "а", False, "not entry text"),
+                   ("5", "b", "а", False, "no locator"), ("6", "b", "", False, "no locator")]
     (tmp_path / "s.tsv").write_text("leaf\tside\tbase\tverdict\n1\ta\t10\tstart\n1\ta\t20\tunclear\n", "utf-8")
     assert S.read_segmentation(spark, str(tmp_path / "s.tsv")).count() == 1
 
