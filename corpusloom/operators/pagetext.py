@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.operators.align import break_positions, cut_positions
 from corpusloom.operators.vote import merge
+from corpusloom.session import spread
 
 FILLER = "￼"
 HYPHENS = ("-", "¬", "‐")
@@ -150,7 +151,7 @@ def voted_pages(sides: DataFrame, keys: list[str]) -> DataFrame:
                     rows.append((*key, *[None] * (len(names) - 1), f"{type(failed).__name__}: {failed}"))
             yield pd.DataFrame(rows, columns=[*keys, *names]).astype({"n": "Int32", "para": "Int32", "fixed": "Int32"})
 
-    return sides.mapInPandas(run, types)
+    return spread(sides).mapInPandas(run, types)
 
 
 def _line(x: dict) -> dict:
