@@ -72,12 +72,16 @@ def alphabet_counts(spark, d):
     return per.withColumn("unseen", (F.col("train") == 0).cast("int"))
 
 
+#: An alphabet with з before б, to tell it from the plain order.
+_ALPHABET = "азбвгдежийклмнопрстуфхцчшщъыьэюя"
+
+
 def collation_sort(spark, d):
     """Dictionary words with their place in the plain and in the custom alphabet's order."""
     from pyspark.sql import Window
 
     lemmas = table(spark, d, "dictionary_psv").select("lemma_id", "lemma").where("lemma is not null").distinct()
-    keyed = lemmas.select("lemma_id", X.sort_key(F.col("lemma")).alias("plain_key"), X.collation_key(F.col("lemma"), "азбвгдежийклмнопрстуфхцчшщъыьэюя").alias("k"))
+    keyed = lemmas.select("lemma_id", X.sort_key(F.col("lemma")).alias("plain_key"), X.collation_key(F.col("lemma"), _ALPHABET).alias("k"))
     keyed = keyed.withColumn("first", F.substring("plain_key", 1, 1))
     w = Window.partitionBy("first")
     return keyed.select(
@@ -118,3 +122,10 @@ ORACLE = {
         CASE WHEN count(*) FILTER (split = 'train') = 0 THEN 1 ELSE 0 END AS unseen FROM s GROUP BY ch""",
 }
 ORACLE["form_index"] = ORACLE["form_index"].replace(", pos FROM frm", " FROM frm")
+
+ORACLE |= {
+    "collation_sort": rf"""WITH l AS (SELECT DISTINCT lemma_id, lemma FROM dictionary_psv WHERE lemma IS NOT NULL),
+        k AS (SELECT lemma_id, trim(lower(replace(regexp_replace(lemma, '\s*\([^)]*\)', '', 'g'), chr(769), '')), ' ') AS plain_key, regexp_replace(lower(lemma), '[^\p{{L}}]', '', 'g') AS letters FROM l),
+        c AS (SELECT *, left(plain_key, 1) AS f, list_transform(string_split(letters, ''), lambda ch: CASE WHEN strpos('{_ALPHABET}', ch) > 0 THEN strpos('{_ALPHABET}', ch) ELSE 1000 END) AS ranks FROM k)
+        SELECT lemma_id, plain_key, row_number() OVER (PARTITION BY f ORDER BY plain_key, lemma_id)::INT AS plain_place, row_number() OVER (PARTITION BY f ORDER BY ranks, lemma_id)::INT AS custom_place FROM c""",
+}

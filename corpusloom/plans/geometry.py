@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from corpusloom.operators import geometry as G
 from corpusloom.operators import pages as P
 from corpusloom.operators.shred import earliest, latest, shredded
+from corpusloom.plans.pagesql import PAGE_LINES, WORDS
 from corpusloom.session import table
 
 _BOX = ("x0", "y0", "x1", "y1")
@@ -176,4 +177,25 @@ ORACLE = {
         u AS (SELECT l_suppkey, list_sort(list(q))[len(list(q)) // 2 + 1] AS upper, round(quantile_cont(q, 0.01), 4) AS p1, round(quantile_cont(q, 0.6), 4) AS p60 FROM q GROUP BY l_suppkey)
         SELECT l_suppkey, upper, mode, times, p1, p60 FROM u JOIN m USING (l_suppkey)""",
     "overlapping_spans": f"""WITH {_BOTH} SELECT dis.id, dis.s, dis.e, ita.s AS s2, ita.e AS e2, least(dis.e, ita.e) - greatest(dis.s, ita.s) AS common FROM dis JOIN ita ON dis.id = ita.id AND dis.s < ita.e AND dis.e > ita.s""",
+    "page_lines": f"WITH {PAGE_LINES} SELECT * FROM ln",
+    "paragraph_boxes": f"WITH {PAGE_LINES} SELECT leaf, n, para, min(x0) AS x0, min(y0) AS y0, max(x1) AS x1, max(y1) AS y1, count(*) AS lines FROM ln GROUP BY leaf, n, para",
+    "line_statistics": f"""WITH {PAGE_LINES}, s AS (SELECT leaf, list_sort(list(y1 - y0))[count(*) // 2 + 1] AS height, quantile_cont(x1 - x0, 0.25) AS q1, quantile_cont(x1 - x0, 0.75) AS q3, count(*) AS lines FROM ln GROUP BY leaf),
+        m AS (SELECT leaf, ind FROM (SELECT leaf, ind, row_number() OVER (PARTITION BY leaf ORDER BY count(*) DESC, ind) AS k FROM ln WHERE ind IS NOT NULL GROUP BY leaf, ind) WHERE k = 1)
+        SELECT leaf, lines, height, ind AS indent, q1, q3 FROM s LEFT JOIN m USING (leaf)""",
+    "word_confidence": f"WITH {WORDS} SELECT leaf, coalesce(round_even(avg(conf) FILTER (conf >= 0), 0), -1)::INT AS conf, count(*) AS words FROM wd GROUP BY leaf",
+    "words_in_lines": f"""WITH {WORDS} SELECT ln.leaf, ln.n, para, line, count(*) AS words FROM wd JOIN ln ON wd.leaf = ln.leaf AND (wd.x0 + wd.x1) / 2 BETWEEN ln.x0 - 1 AND ln.x1 + 1 AND (wd.y0 + wd.y1) / 2 BETWEEN ln.y0 - 1 AND ln.y1 + 1
+        GROUP BY ln.leaf, ln.n, para, line""",
+    "column_gutters": f"""WITH {PAGE_LINES}, pg AS (SELECT DISTINCT leaf, width::DOUBLE AS w, greatest(1, floor(width / 400))::BIGINT AS st, floor(0.35 * width)::BIGINT AS lo, floor(0.65 * width)::BIGINT AS hi FROM ln),
+        pt AS (SELECT leaf, w, unnest(range(lo, hi, st)) AS x FROM pg), cv AS (SELECT pt.leaf, pt.x, any_value(w) AS w, count(ln.leaf) AS n FROM pt LEFT JOIN ln ON ln.leaf = pt.leaf AND ln.x0 < pt.x AND ln.x1 > pt.x GROUP BY pt.leaf, pt.x)
+        SELECT leaf, x AS gutter, n AS covered FROM (SELECT *, row_number() OVER (PARTITION BY leaf ORDER BY n, abs(x - w / 2), x) AS k FROM cv) WHERE k = 1""",
+    "flush_levels": f"""WITH {PAGE_LINES}, f AS (SELECT leaf, n, ind, coalesce(hanging, false) AND line = 1 AS s FROM ln WHERE ind IS NOT NULL), g AS (SELECT leaf, n, min(ind) AS low, count(*) AS total FROM f GROUP BY leaf, n),
+        lw AS (SELECT g.*, (SELECT count(*) FROM f WHERE f.leaf = g.leaf AND f.n = g.n AND ind = low) AS lowest FROM g), o AS (SELECT *, unnest(CASE WHEN lowest <= greatest(2, 0.05 * total) THEN [-1, 0, 1] ELSE [-1, 0] END) AS flush FROM lw),
+        t AS (SELECT o.leaf, o.n, flush, count(*) FILTER (ind - low <= flush AND s) AS hit, count(*) FILTER (ind - low <= flush) AS said, count(*) FILTER (s) AS truth FROM o JOIN f ON f.leaf = o.leaf AND f.n = o.n GROUP BY o.leaf, o.n, flush),
+        e AS (SELECT *, round(CASE WHEN said + truth > 0 THEN 2 * hit / (said + truth) ELSE 1.0 END, 6) AS f1, round(CASE WHEN said > 0 THEN hit / said END, 6) AS precision FROM t),
+        k AS (SELECT *, row_number() OVER (PARTITION BY leaf, n ORDER BY f1 DESC, flush) AS k FROM e) SELECT leaf, n, flush, f1, precision FROM k WHERE k = 1 AND ((precision >= 0.5 AND said >= 3) OR (said > 0 AND hit = said) OR (said = 0 AND truth = 0))""",
+    "covered_pieces": f"""WITH t AS (SELECT id, max(length(definition))::INT AS n, max(disputed) AS dis, max(italic) AS ita FROM entries WHERE definition IS NOT NULL GROUP BY id),
+        sp AS (SELECT id, 'disputed' AS kind, unnest({_SPANS.format(c='dis')}) AS x FROM t UNION ALL SELECT id, 'italic', unnest({_SPANS.format(c='ita')}) FROM t),
+        ed AS (SELECT DISTINCT id, at_ FROM (SELECT id, unnest([0, n]) AS at_, n FROM t UNION ALL SELECT sp.id, unnest([x.s, x.e]), n FROM sp JOIN t USING (id)) WHERE at_ BETWEEN 0 AND n),
+        pc AS (SELECT id, at_ AS s, lead(at_) OVER (PARTITION BY id ORDER BY at_) AS e FROM ed)
+        SELECT pc.id, pc.s, pc.e, coalesce((SELECT string_agg(DISTINCT kind, '+' ORDER BY kind) FROM sp WHERE sp.id = pc.id AND sp.x.s < pc.e AND sp.x.e > pc.s), '') AS kinds FROM pc WHERE e IS NOT NULL""",
 }

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from corpusloom.operators.pages import page_children
+from corpusloom.plans.pagesql import CHILDREN
 from corpusloom.session import table
 
 
@@ -13,4 +14,4 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"p4_found": p4_found}
-ORACLE: dict[str, str] = {}
+ORACLE = {"p4_found": f"WITH {CHILDREN} SELECT * FROM ch"}

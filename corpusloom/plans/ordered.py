@@ -155,8 +155,8 @@ ORACLE = {
     "paragraph_ranks": """SELECT *, row_number() OVER (PARTITION BY leaf, col ORDER BY para)::INT AS from_top, row_number() OVER (PARTITION BY leaf, col ORDER BY para DESC)::INT AS from_bottom
         FROM (SELECT DISTINCT leaf, col, para FROM paragraphs)""",
     "clamped_spans": "SELECT *, max(e) OVER (PARTITION BY para_id ORDER BY span_no ROWS UNBOUNDED PRECEDING) AS until FROM (SELECT DISTINCT para_id, span_no, s, e FROM disputes)",
-    "section_changes": """WITH m AS (SELECT idx, max(section) AS section, max(letter) AS letter FROM manifest GROUP BY idx),
-        w AS (SELECT *, lag(section) OVER x AS before, lag(letter) OVER x AS letter_before, row_number() OVER x AS k FROM m WINDOW x AS (PARTITION BY idx // 100 ORDER BY idx))
+    "section_changes": """WITH m AS (SELECT idx, max(section) AS section, max(letter) AS letter FROM manifest WHERE idx IS NOT NULL GROUP BY idx),
+        w AS (SELECT *, lag(section) OVER x AS before, lag(letter) OVER x AS letter_before, row_number() OVER x AS k FROM m WINDOW x AS (ORDER BY idx))
         SELECT idx, section, letter, before, letter_before FROM w WHERE k > 1 AND (section IS DISTINCT FROM before OR letter IS DISTINCT FROM letter_before)""",
     "nearest_error": """WITH e AS (SELECT event_id, user_id, event_type, epoch_us(ts) // 1000000 AS t FROM events),
         c AS (SELECT a.event_id, a.user_id, a.t AS "at", b.t AS error_at, row_number() OVER (PARTITION BY a.event_id ORDER BY abs(a.t - b.t), b.t) AS k

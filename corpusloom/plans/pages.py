@@ -17,6 +17,7 @@ from corpusloom.operators import pages as P
 from corpusloom.operators import pagetext as T
 from corpusloom.operators.shred import latest, shredded
 from corpusloom.plans.geometry import page_lines
+from corpusloom.plans.pagesql import LINES, PAGE_LINES, each, scalar
 from corpusloom.session import table
 from corpusloom.sources import witness as W
 from corpusloom.sources.delimited import parse_truth
@@ -475,4 +476,20 @@ ORACLE = {
     "typst_entries": r"""WITH d AS (SELECT DISTINCT id, definition AS x FROM entries WHERE definition IS NOT NULL), a AS (SELECT id, regexp_replace(replace(x, '\', '\\'), '([#$*_`<>@\[\]~])', '\\\1', 'g') AS x FROM d),
         b AS (SELECT id, replace(replace(replace(x, '//', '\/\/'), '/*', '/\*'), '--', '—') AS x FROM a), c AS (SELECT id, regexp_replace(regexp_replace(x, '(\S) - (\S)', '\1 — \2', 'g'), '(\S) - (\S)', '\1 — \2', 'g') AS x FROM b),
         e AS (SELECT id, CASE WHEN regexp_matches(x, '^[-+=/]') THEN '\' || x ELSE x END AS x FROM c) SELECT id, regexp_replace(x, '^(\d+)\.(\s)', '\1\\.\2') AS markup FROM e""",
+    "head_hints": rf"""WITH {PAGE_LINES}, tx AS (SELECT * FROM ln WHERE text IS NOT NULL), q AS (SELECT leaf, n, para, bool_or(contains(text, '=')) AS eq FROM tx WHERE line <= 2 GROUP BY leaf, n, para)
+        SELECT leaf, n, para, regexp_replace(trim(regexp_extract(text, '^(.*?)(?:=|—|–|\(|\s-\s|\s-$|$)', 1), ' '), '[^\p{{L}}\p{{N}}]+$', '') AS head, eq FROM tx JOIN q USING (leaf, n, para) WHERE hanging AND line = 1""",
+    "nearest_openings": f"""WITH {PAGE_LINES}, mk AS (SELECT leaf, n, y0 AS y, min(x0) AS edge FROM ln WHERE hanging AND line = 1 GROUP BY leaf, n, y0),
+        j AS (SELECT ln.leaf, ln.n, para, line, ln.y0, edge, row_number() OVER (PARTITION BY ln.leaf, ln.n, para, line ORDER BY abs(mk.y - ln.y0), mk.y) AS k FROM ln LEFT JOIN mk ON mk.leaf = ln.leaf AND mk.n = ln.n) SELECT leaf, n, para, line, y0, edge FROM j WHERE k = 1""",
+    "line_gutters": f"""WITH {PAGE_LINES}, bd AS (SELECT leaf, x0, x1, width::DOUBLE AS bw FROM ln WHERE x1 - x0 > 300), pg AS (SELECT leaf, max(bw) AS w, count(*) AS total FROM bd GROUP BY leaf HAVING count(*) >= 10),
+        pt AS (SELECT leaf, w, total, unnest(range(floor(0.3 * w)::BIGINT, ceil(0.7 * w)::BIGINT, 10)) AS x FROM pg), cv AS (SELECT pt.leaf, x, w, total, count(bd.leaf) AS n FROM pt LEFT JOIN bd ON bd.leaf = pt.leaf AND x0 < x AND x1 > x GROUP BY pt.leaf, x, w, total)
+        SELECT leaf, x::DOUBLE AS gutter FROM (SELECT *, row_number() OVER (PARTITION BY leaf ORDER BY n, abs(x - w / 2), x) AS k FROM cv) WHERE k = 1 AND n <= 0.1 * total""",
+    "merged_rows": f"""WITH {PAGE_LINES}, pc AS (SELECT * FROM ln WHERE base IS NOT NULL AND text IS NOT NULL), nw AS (SELECT *, CASE WHEN base - lag(base) OVER (PARTITION BY leaf ORDER BY base, x0) < 25 THEN 0 ELSE 1 END AS fresh FROM pc),
+        rw AS (SELECT *, sum(fresh) OVER (PARTITION BY leaf ORDER BY base, x0 ROWS UNBOUNDED PRECEDING) AS row_ FROM nw)
+        SELECT leaf, row_::BIGINT AS line, string_agg(trim(text, ' '), ' ' ORDER BY x0, text) AS text, min(x0) AS x0, min(y0) AS y0, max(x1) AS x1, max(y1) AS y1 FROM rw GROUP BY leaf, row_""",
+    "page_report": f"""WITH {LINES}, {each('cur', 'b', 'entries_hint', 'h', 'leaf')}, hi AS (SELECT leaf, count(*) AS hints, count(*) FILTER (eq) AS hints_eq FROM (SELECT leaf, c_, p_, bool_or(TRY_CAST({scalar('h_e', 'eq')} AS BOOLEAN)) AS eq
+        FROM (SELECT leaf, h_e, trim({scalar('h_e', 'col')}) AS c_, trunc(TRY_CAST({scalar('h_e', 'para')} AS DOUBLE))::INT AS p_ FROM h) GROUP BY ALL) GROUP BY leaf),
+        li AS (SELECT leaf, count(*) AS lines, sum(length(regexp_replace(coalesce({scalar('l_e', 'text')}, ''), '[^=]', '', 'g')))::BIGINT AS eq_signs FROM l GROUP BY leaf), pa AS (SELECT leaf, count(DISTINCT n) AS columns, count(*) AS paragraphs FROM p GROUP BY leaf),
+        al AS (SELECT leaf, coalesce(columns, 0) AS columns, coalesce(paragraphs, 0) AS paragraphs, coalesce(lines, 0) AS lines, coalesce(eq_signs, 0) AS eq_signs, coalesce(hints, 0) AS hints, coalesce(hints_eq, 0) AS hints_eq
+        FROM cur LEFT JOIN pa USING (leaf) LEFT JOIN li USING (leaf) LEFT JOIN hi USING (leaf))
+        SELECT leaf, sum(columns)::BIGINT AS columns, sum(paragraphs)::BIGINT AS paragraphs, sum(lines)::BIGINT AS lines, sum(eq_signs)::BIGINT AS eq_signs, sum(hints)::BIGINT AS hints, sum(hints_eq)::BIGINT AS hints_eq FROM al GROUP BY ROLLUP (leaf)""",
 }

@@ -153,3 +153,9 @@ ORACLE = {
         j AS (SELECT annotator, CASE label WHEN 'd' THEN read_d WHEN 'b' THEN read_b WHEN 'a' THEN read_a END AS said, truth FROM a JOIN x USING (item_id))
         SELECT annotator, count(*) AS n, count(*) FILTER (said = truth) AS same, round(count(*) FILTER (said = truth) / count(*), 6) AS same_rate FROM j WHERE said IS NOT NULL GROUP BY annotator""",
 }
+
+_MODERN = r"""trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(translate(replace(replace(lower(headword_civil), 'аѵ', 'ав'), 'еѵ', 'ев'), 'ѣіѳѵ', 'еифи'), 'ъ([\s\-,;])', '\1', 'g'), 'ъ$', ''), '[^\p{L}\p{N}_\s\-]', '', 'g'), '\s+', ' ', 'g'), ' ')"""
+ORACLE |= {
+    "head_agreement": f"""WITH e AS (SELECT DISTINCT * FROM entries), x AS (SELECT hw_source, coalesce({X.civil_sql('headword')} = headword_civil, false) AS a, coalesce({_MODERN} = headword_key, false) AS b FROM e WHERE headword IS NOT NULL)
+        SELECT hw_source, count(*) FILTER (a AND b) AS "both", count(*) FILTER (a AND NOT b) AS only_a, count(*) FILTER (NOT a AND b) AS only_b, count(*) FILTER (NOT a AND NOT b) AS neither FROM x GROUP BY hw_source""",
+}

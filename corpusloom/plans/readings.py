@@ -72,7 +72,10 @@ QUERIES = {
 }
 
 _DIS = "x AS (SELECT DISTINCT item_id, para_id, s, e, coalesce(read_d, '') AS d, coalesce(read_b, '') AS b, coalesce(read_a, '') AS a FROM disputes)"
-_ANS = "ans AS (SELECT DISTINCT item_id, replace(trim(lower(annotator)), ' ', '-') AS annotator, trim(lower(label)) AS label FROM dispute_labels WHERE trim(lower(label)) IN ('d', 'b', 'a', 'x'))"
+_ANS = r"""named AS (SELECT item_id, replace(trim(regexp_replace(trim(regexp_replace(lower(annotator), '[^\p{L}\p{N}]+', ' ', 'g')), ' +', ' ', 'g')), ' ', '-') AS annotator, labelled_at, received_at, label_id,
+    regexp_replace(trim(regexp_replace(lower(label), '[^\p{L}\p{N}]+', ' ', 'g')), '^(?:wit|witness|text|read|reading) +', '') AS word FROM dispute_labels WHERE item_id IS NOT NULL),
+    lst AS (SELECT *, row_number() OVER (PARTITION BY item_id, annotator ORDER BY labelled_at DESC NULLS LAST, received_at DESC NULLS LAST, label_id DESC NULLS LAST) AS k FROM named WHERE annotator <> ''),
+    ans AS (SELECT item_id, annotator, CASE WHEN word IN ('x', 'none') THEN 'x' ELSE word END AS label FROM lst WHERE k = 1 AND word IN ('d', 'b', 'a', 'x', 'none'))"""
 _FIXED = "(b <> d AND b = a AND ('' <> d OR (contains(b, '=') AND NOT contains(d, '=')) OR list_sort([b, d]) = ['ъ', 'ь']))"
 
 ORACLE = {

@@ -162,3 +162,14 @@ ORACLE = {
     "spans_packed_again": f"""SELECT id, array_to_string(list_transform({_SPANS.format(c='disputed')}, lambda x: x.s || '-' || x.e), ';') AS packed FROM (SELECT DISTINCT id, disputed FROM entries)""",
     "event_props": "SELECT event_id, (props->>'$.k')::INT AS k, event_type AS first, 2 AS n FROM events",
 }
+
+ORACLE |= {
+    "assembled_entries": r"""WITH p AS (SELECT leaf, col, para, max(hanging) AS hanging, max(text_d) AS t FROM paragraphs GROUP BY leaf, col, para),
+        g AS (SELECT *, sum(CASE WHEN coalesce(hanging, true) THEN 1 ELSE 0 END) OVER (ORDER BY leaf, col, para ROWS UNBOUNDED PRECEDING) AS g FROM p),
+        a AS (SELECT g, min(leaf) AS leaf, arg_min(col, (leaf, col, para)) AS first_col, arg_min(para, (leaf, col, para)) AS first_para, count(*)::INT AS n, list(coalesce(t, '') ORDER BY leaf, col, para) AS parts FROM g GROUP BY g)
+        SELECT leaf, first_col, first_para, n, list_reduce(parts, lambda x, y: CASE WHEN x = '' THEN y WHEN y = '' THEN x WHEN regexp_matches(x, '(^|[^ ])[-¬]$') THEN left(x, length(x) - 1) || y ELSE x || ' ' || y END) AS text FROM a""",
+    "paren_balance": rf"""WITH {_D}, m AS (SELECT id, list_filter(list_transform(range(1, length(definition)::INT + 1), lambda i: {{'c': substr(definition, i, 1), 's': regexp_matches(left(definition, i - 1), '(^|[\s=—;:,.])([0-9]{{1,2}}|[а-я])$')}}), lambda x: x.c IN ('(', ')')) AS marks FROM d),
+        r AS (SELECT id, list_reduce(list_prepend({{'open': 0, 'bad': 0}}, list_transform(marks, lambda x: {{'open': CASE WHEN x.c = '(' THEN 1 WHEN x.s THEN -2 ELSE -1 END, 'bad': 0}})),
+        lambda a, x: {{'open': CASE WHEN x.open = 1 THEN a.open + 1 ELSE greatest(a.open - 1, 0) END, 'bad': a.bad + CASE WHEN x.open = -1 AND a.open = 0 THEN 1 ELSE 0 END}}) AS z FROM m)
+        SELECT id, z.open AS open, z.bad AS bad FROM r""",
+}
