@@ -86,6 +86,7 @@ def _people(edges: DataFrame) -> DataFrame:
         F.count("*").cast("double").alias("n"),
         F.array(*[F.sum(F.col(f"p{c}") / F.col("n_item")) for c in range(k)]).alias("posterior"),
         F.sum("moved").alias("moved"),
+        F.max("moved").alias("most"),
     )
 
 
@@ -97,9 +98,10 @@ def _logit(p: float) -> float:
     return log(p / (1 - p))
 
 
-def run(edges: DataFrame, rounds: int = 20, tolerance: float = 5e-3, keep: int = 2) -> tuple[DataFrame, DataFrame, list[float]]:
-    """Messages to convergence (mean change of a message's probability below ``tolerance``) over item_id, annotator,
-    label. Gives the edges with their last messages, one row per annotator, and the share of each class."""
+def run(edges: DataFrame, rounds: int = 20, tolerance: float = 1e-2, keep: int = 5) -> tuple[DataFrame, DataFrame, list[float], dict]:
+    """Messages to convergence (no message's probability changes by ``tolerance`` or more) over item_id, annotator,
+    label. Gives the edges with their last messages, one row per annotator, the share of each class, and how it ended:
+    rounds, mean_change, largest_change, converged. A round is one job: the annotators' sums make the new messages."""
     spark, k = edges.sparkSession, len(CLASSES)
     number = F.array_position(F.array(*map(F.lit, CLASSES)), F.col("label")).cast("int") - 1
     edges = edges.select("item_id", "annotator", number.alias("l")).repartition("item_id")
@@ -110,28 +112,34 @@ def run(edges: DataFrame, rounds: int = 20, tolerance: float = 5e-3, keep: int =
     first = _each("q", lambda c: (F.col(f"v{c}") - (F.col("l") == c).cast("double") + 1 / k) / F.col("n_item"))
     share = _each("p", lambda c: F.col(f"v{c}") / F.col("n_item"))
     now = edges.withColumns(counts).withColumns(first | share | {"moved": F.lit(1.0)}).drop(*[f"v{c}" for c in range(k)])
-    now = now.persist(StorageLevel.MEMORY_AND_DISK)
+    now, before = now.persist(StorageLevel.MEMORY_AND_DISK), None
     few = now.select("annotator").distinct().count() <= BROADCAST_ANNOTATORS
-    prior, turn = [1 / k] * k, 0
+    how = {"rounds": 0, "mean_change": 0.0, "largest_change": 0.0, "converged": True}
     while True:
-        people = _people(now)
+        told = _people(now)
         if few:  # a row per annotator, of checked number
-            people = spark.createDataFrame(people.collect(), people.schema)
+            rows = told.collect()
+            sums = [sum(r["n"] for r in rows), sum(r["moved"] for r in rows), max((r["most"] for r in rows), default=0.0)]
+            mass = [sum(r["posterior"][c] for r in rows) for c in range(k)]
         else:
-            people = cut(people)
-        sums = people.agg(F.sum("n"), F.sum("moved"), *[F.sum(F.col("posterior")[c]) for c in range(k)]).first()
-        if sums[0]:
-            mass = sum(sums[2:])
-            prior = [min(max(x / mass, 1e-4), 1 - 1e-4) for x in sums[2:]]
-        people = people.drop("posterior", "moved").withColumn("prior", F.array(*map(F.lit, prior)))
+            told = cut(told)
+            one = told.agg(F.sum("n"), F.sum("moved"), F.max("most"), *[F.sum(F.col("posterior")[c]) for c in range(k)]).first()
+            sums, mass = one[:3], one[3:]
+        if before is not None:
+            before.unpersist()
+        prior = [min(max(x / sum(mass), 1e-4), 1 - 1e-4) for x in mass] if sums[0] else [1 / k] * k
         if few:
-            people = spark.createDataFrame(people.collect(), people.schema)
-        if not sums[0]:
-            break
-        if turn >= rounds or sums[1] / sums[0] < tolerance:
-            break
-        turn += 1
+            names = ["annotator", "same", "total", "given", "n", "prior"]
+            kind = "annotator string, same array<double>, total array<double>, given array<double>, n double, prior array<double>"
+            people = spark.createDataFrame([(*(r[c] for c in names[:-1]), prior) for r in rows], kind)
+        else:
+            people = told.drop("posterior", "moved", "most").withColumn("prior", F.array(*map(F.lit, prior)))
         sent = messages(now, F.broadcast(people) if few else people)
+        if sums[0]:
+            how |= {"mean_change": sums[1] / sums[0], "largest_change": sums[2], "converged": sums[2] < tolerance}
+        if not sums[0] or how["converged"] or how["rounds"] >= rounds:
+            return sent, people, prior, how
+        how["rounds"] += 1
         after = sent.withColumnsRenamed({f"q{c}": f"b{c}" for c in range(k)}).drop(*[f"p{c}" for c in range(k)])
         after = after.withColumns(_each("t", lambda c: F.sum(f"m{c}").over(item)))
         after = after.withColumns(
@@ -141,12 +149,16 @@ def run(edges: DataFrame, rounds: int = 20, tolerance: float = 5e-3, keep: int =
         moved = reduce(lambda a, b: a + b, [F.abs(F.col(f"q{c}") - F.col(f"b{c}")) for c in range(k)]) / k
         state = [f"{x}{c}" for x in "qp" for c in range(k)]
         after = after.select("item_id", "annotator", "l", "n_item", *state, moved.alias("moved"))
-        if turn % keep == 0:
+        if how["rounds"] % keep == 0:
             after = cut(after).repartition("item_id")
         before, now = now, after.persist(StorageLevel.MEMORY_AND_DISK)
-        now.count()
-        before.unpersist()
-    return messages(now, F.broadcast(people) if few else people), people, prior
+
+
+def convergence(items: DataFrame, labels: DataFrame) -> DataFrame:
+    """One row: rounds, mean_change and largest_change of a message's probability in the last round, converged."""
+    how = run(answers(labels, items))[3]
+    kind = "rounds int, mean_change double, largest_change double, converged boolean"
+    return items.sparkSession.createDataFrame([(how["rounds"], round(how["mean_change"], 6), round(how["largest_change"], 6), how["converged"])], kind)
 
 
 def consensus(items: DataFrame, labels: DataFrame, **how) -> tuple[DataFrame, DataFrame]:
@@ -154,7 +166,7 @@ def consensus(items: DataFrame, labels: DataFrame, **how) -> tuple[DataFrame, Da
     label; NULL without answers), and annotator, n_answers, reliability (expected share of right answers), informed
     (reliability beyond what answering by the annotator's own habits alone would give)."""
     k = len(CLASSES)
-    sent, people, prior = run(answers(labels, items), **how)
+    sent, people, prior, _ = run(answers(labels, items), **how)
     by_item = sent.groupBy("item_id").agg(
         *[F.sum(f"m{c}").alias(f"t{c}") for c in range(k)],
         *[F.sum((F.col("l") == c).cast("int")).alias(f"v{c}") for c in range(k)],

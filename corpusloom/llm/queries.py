@@ -39,6 +39,10 @@ def p2_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
     return consensus.alpha(consensus.answers(table(spark, sf_dir, "dispute_labels"), table(spark, sf_dir, "disputes")))
 
 
+def p2_convergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return consensus.convergence(table(spark, sf_dir, "disputes"), table(spark, sf_dir, "dispute_labels"))
+
+
 def p3_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matching.matches(table(spark, sf_dir, "dictionary_psv"), table(spark, sf_dir, "entries"))
 
@@ -97,6 +101,7 @@ QUERIES = {
     "p2_items": p2_items,
     "p2_annotators": p2_annotators,
     "p2_agreement": p2_agreement,
+    "p2_convergence": p2_convergence,
     "p3_found": p3_found,
     "p3_matches": p3_matches,
     "p5_found": p5_found,
