@@ -67,7 +67,7 @@ _JOIN = re.compile(
 )
 _ALIEN = re.compile(rf"[^{LOWER}{UPPER}]")
 _INNER_CAPITAL = re.compile(rf"[{LOWER}][{UPPER}]|^[{UPPER}]{{2,}}[{LOWER}]")
-_HEAD = re.compile(r"^.{0,160}?(?: = | — |=)", re.S)
+_HEAD = re.compile(r"^.*?(?: = | — |=)", re.S)
 _ROMAN = frozenset("ІVХIXLC")
 
 
