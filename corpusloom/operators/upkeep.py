@@ -74,3 +74,54 @@ def ledger_merge(ledger: DataFrame, news: DataFrame, key: str, at: str) -> DataF
     cols = ledger.columns
     every = ledger.unionByName(news.select(*cols))
     return every.groupBy(key).agg(F.max(F.struct(at, *[c for c in cols if c not in (key, at)])).alias("_x")).select(key, "_x.*").select(*cols)
+
+
+def page_dump(lines: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """A text row for every printed line as JSON, in order within its page, so that a change of one line changes one row of
+    the file (``write.partitionBy(...).text``). NULL fields are left out."""
+    fields = [c for c in lines.columns if c not in keys]
+    return lines.select(*keys, *order, F.to_json(F.struct(*fields)).alias("value")).sort(*keys, *order).select(*keys, "value")
+
+
+def write_pages(pages: DataFrame, path: str, key: str = "leaf") -> None:
+    """Pages written back by their key: partitions of pages that are not given stay as they are."""
+    spread_by = pages.repartition(key)
+    spread_by.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(path)
+
+
+def write_samples(samples: DataFrame, path: str, split: str = "split", ident: str = "id") -> DataFrame:
+    """Samples written by split, beside a list of the ids of each; gives the counts."""
+    samples.write.mode("overwrite").partitionBy(split).parquet(f"{path}/samples")
+    samples.select(split, F.col(ident).cast("string").alias("value")).sort("value").write.mode("overwrite").partitionBy(split).text(f"{path}/lists")
+    return samples.groupBy(split).agg(F.count("*").alias("n"))
+
+
+def candidates(spark, path: str, registry: dict, name: str, leaves: DataFrame, refresh: bool = False) -> DataFrame:
+    """The texts of a candidate (``registry``: name to a function of leaves that gives leaf, text) for the leaves, made only where
+    they are not kept in ``path`` yet, or all anew with ``refresh``."""
+    from pyspark.errors import AnalysisException
+
+    folder = f"{path}/cand={name}"
+    try:
+        kept = spark.read.schema("text string, leaf int").parquet(folder)
+        kept.limit(1).count()
+    except AnalysisException:
+        kept = None
+    missing = leaves if refresh or kept is None else leaves.join(kept, "leaf", "left_anti")
+    made = registry[name](missing.select("leaf").distinct())
+    write_pages(made.select("text", "leaf"), folder)
+    return spark.read.schema("text string, leaf int").parquet(folder).join(leaves.select("leaf").distinct(), "leaf", "left_semi")
+
+
+def stored_readings(hints: DataFrame, readings: DataFrame, keys: list[str], witnesses: dict[str, str]) -> DataFrame:
+    """Hints with the newest reading of each (readings: keys, reading, source, read_at; a NULL reading says that there is no
+    head), and which witnesses' texts hold it: ``confirmed_by`` and ``check`` (confirmed, disputed, no_entry; NULL where nothing was
+    read). ``witnesses`` names the columns of ``hints`` with their texts."""
+    from corpusloom.functions.text import squash
+    from corpusloom.operators.vote import confirmed_by
+
+    last = readings.groupBy(*keys).agg(F.max(F.struct("read_at", "source", "reading")).alias("_r"))
+    both = hints.join(last, keys, "left").withColumn("headword", F.col("_r.reading")).withColumn("headword_source", F.col("_r.source"))
+    by = confirmed_by(squash(F.col("headword")), **{name: squash(F.col(c)) for name, c in witnesses.items()})
+    check = F.when(F.col("_r").isNull(), None).when(F.col("headword").isNull(), "no_entry").when(F.length(by) > 0, "confirmed").otherwise("disputed")
+    return both.withColumn("confirmed_by", F.when(F.col("headword").isNotNull(), by)).withColumn("check", check).drop("_r")

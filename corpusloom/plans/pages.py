@@ -13,8 +13,11 @@ from corpusloom.operators import evaluate as V
 from corpusloom.operators import geometry as G
 from corpusloom.operators import layout as L
 from corpusloom.operators import ordered as O
+from corpusloom.operators import pagelayout as Y
 from corpusloom.operators import pages as P
 from corpusloom.operators import pagetext as T
+from corpusloom.operators import segmentation as Z
+from corpusloom.operators import upkeep as U
 from corpusloom.operators.shred import latest, shredded
 from corpusloom.plans.geometry import page_lines
 from corpusloom.plans.pagesql import LINES, PAGE_LINES, each, scalar
@@ -439,9 +442,77 @@ def text_checks(spark, d):
     return W.verified(t.select("name", "content"), listed)
 
 
+def _layout_input(spark, d):
+    """Lines, pages, pictures and verdicts as the layout takes them, of the current records (which hold no pictures)."""
+    lines = page_lines(spark, d).where("text is not null and base is not null")
+    lines = lines.select("leaf", "base", "x0", "y0", "x1", "y1", "text", F.coalesce("fs", F.lit(10.0)).alias("fs"), (F.col("y1") - F.col("y0")).alias("height"), F.lit(-1).alias("conf"))
+    spec = {"size": list, "rule": list, "section": None, "printed_page": None}
+
+    def run(batches):
+        from corpusloom.operators.shred import Levels
+
+        for pdf in batches:
+            rows = [(leaf, *(lv.value(c)[0] for c in spec)) for leaf, cols in zip(pdf["leaf"], pdf["cols"]) for lv in (Levels(cols),)]
+            yield pd.DataFrame(rows, columns=["leaf", *spec])
+
+    now = latest(shredded(table(spark, d, "page_json"), "body", ["leaf", "written_at"], spec), "leaf", "written_at")
+    told = now.mapInPandas(run, "leaf int, size string, rule string, section string, printed_page string")
+    number = lambda c, k: F.get(F.from_json(c, "array<string>"), F.lit(k)).try_cast("double")
+    pages = told.select("leaf", number("size", 0).alias("width"), number("size", 1).alias("tall"), F.coalesce("section", F.lit("main")).alias("section"), F.col("printed_page").try_cast("int").alias("page"), number("rule", 0).alias("g0"), number("rule", 1).alias("g1"))
+    pictures = lines.limit(0).select("leaf", "x0", "y0", "x1", "y1")
+    verdicts = spark.createDataFrame([], "leaf int, side string, base int, verdict string")
+    return lines, pages.where("width is not null and tall is not null"), pictures, verdicts
+
+
+def laid_out_lines(spark, d):
+    """The lines of each leaf laid out: column, paragraph, row, indent, and what tells so."""
+    return Y.laid_out(*_layout_input(spark, d))
+
+
+def layout_hints(spark, d):
+    """The heads of the paragraphs that the layout finds."""
+    return Y.hints(laid_out_lines(spark, d))
+
+
+def paired_lines(spark, d):
+    """The printed lines of d beside those of the voted text, by alignment."""
+    t = _other_texts(spark, d).where("c is not null and d is not null").select("para_id", "c", "d")
+    starts = lambda text: [0, *(k + 1 for k, ch in enumerate(text) if ch == "\n")]
+
+    def run(batches):
+        for pdf in batches:
+            rows = [(key, k, q) for key, c, x in pdf.itertuples(index=False, name=None) for k, q in enumerate(Z.paired_lines(c, starts(c), x, starts(x)))]
+            yield pd.DataFrame(rows, columns=["para_id", "line", "of_d"]).astype({"of_d": "Int32"})
+
+    return t.mapInPandas(run, "para_id string, line int, of_d int")
+
+
+def line_verdicts(spark, d):
+    """The lines that two measures of the same page (indents as recorded, and levels of their left edges) both take for starts or
+    for continuations."""
+    lines = page_lines(spark, d).where("ind is not null and x0 is not null and y0 is not null")
+    lines = lines.select("leaf", "n", (F.col("para") * 1000 + F.col("line")).alias("at"), "ind", "x0", "y0", (F.coalesce("hanging", F.lit(False)) & (F.col("line") == 1)).alias("start"))
+    measured = L.levels(lines.select("leaf", "n", "at", F.col("x0").cast("double").alias("x0"), F.col("y0").cast("double").alias("y0"), F.lit(157.0).alias("step")), ["leaf", "n"], "at", "step")
+    one = Z.witness_verdicts(lines.select("leaf", "n", "at", F.col("ind").alias("level"), "start"), ["leaf", "n"], "at").withColumn("w", F.lit("recorded"))
+    two = Z.witness_verdicts(measured.join(lines.select("leaf", "n", "at", "start"), ["leaf", "n", "at"]), ["leaf", "n"], "at").withColumn("w", F.lit("measured"))
+    return Z.agreed(one.unionByName(two), ["leaf", "n", "at"], "w")
+
+
+def page_rows(spark, d):
+    """Pages as text, a row of JSON for each printed line."""
+    return U.page_dump(page_lines(spark, d).select("leaf", "n", "para", "line", "x0", "y0", "text"), ["leaf"], ["n", "para", "line"])
+
+
+def stored_readings(spark, d):
+    """Heads as they were read (each entry's newest row), with the texts of the paragraph that confirm them."""
+    p = table(spark, d, "paragraphs").groupBy(F.col("para_id").alias("id")).agg(F.max("text_d").alias("d"), F.max("text_merged").alias("m"))
+    r = table(spark, d, "entries").where("hw_source in ('vision', 'manual')").select("id", F.col("headword").alias("reading"), F.col("hw_source").alias("source"), F.coalesce("status", F.lit("")).alias("read_at")).distinct()
+    return U.stored_readings(p, r, ["id"], {"D": "d", "M": "m"}).select("id", "headword", "headword_source", "confirmed_by", "check")
+
+
 QUERIES = {
     f.__name__: f
-    for f in (head_hints, parsed_entries, merged_texts, voted_pages, page_texts, side_levels, column_edges, line_gutters, lines_of_letters, nearest_openings, word_hosts, merged_rows,
+    for f in (laid_out_lines, layout_hints, paired_lines, line_verdicts, page_rows, stored_readings, head_hints, parsed_entries, merged_texts, voted_pages, page_texts, side_levels, column_edges, line_gutters, lines_of_letters, nearest_openings, word_hosts, merged_rows,
               suspect_readings, text_differences, head_readings, doubtful_starts, line_markers, witness_coverage, label_forms, same_heads, head_types, head_fits, typst_entries,
               alphabet_names, leaf_arithmetic, encoded_texts, letter_runs, page_report, margin_sides, reader_disagreements, letter_checks, letter_sections, typst_sections, form_pages,
               layer_round_trip, text_checks)

@@ -11,7 +11,10 @@ from corpusloom.operators import entries as E
 from corpusloom.operators import evaluate as V
 from corpusloom.operators import geometry as G
 from corpusloom.operators import layout as L
+from corpusloom.operators import pagelayout as Y
 from corpusloom.operators import pagetext as T
+from corpusloom.operators import segmentation as Z
+from corpusloom.operators import upkeep as U
 from corpusloom.plans.pages import _Sections
 from corpusloom.sources import witness as W
 from corpusloom.sources.delimited import parse_truth
@@ -238,3 +241,94 @@ def test_parsed_entries(spark):
     assert a.definition == "рѣчь людей (да нѣтъ) конецъ" and a.disputed == "0-4" and a.headword_key == "слово" and {"joined_null", "odd_len", "seg", "hw_provisional"} <= set(a.flags)
     assert b.definition == "дома" and b.hw_source == "manual" and {"errata", "guessed", "no_eq"} <= set(b.flags) and b.headword_civil == "Столпъ"
     assert "no_sep" in got["0001-1-01"].flags and json.loads(json.dumps(a.flags)) == sorted(a.flags)
+
+
+def test_layout(spark):
+    """A page with header, foot, a title between two bands, hanging paragraphs on both sides, a fragment and a speck."""
+    def line(base, x0, x1, text, fs=10.0, height=60.0, conf=90):
+        return (1, base, x0, base - 50, x1, base + 10, text, fs, height, conf)
+
+    rows = [line(200, 100, 300, "АЗБ"), line(200, 2000, 2060, "12"), line(200, 3700, 3900, "ВОД")]
+    for k in range(8):  # two columns of 1900, entries on every fourth line, continuation lines 115 further right
+        for left in (200, 2162):
+            new = k % 4 == 0
+            rows.append(line(900 + 100 * k, left + (0 if new else 115), left + 1900, ("Слово = " if new else "") + "рѣчь людей и дѣла ихъ на земли и въ мори"))
+    rows += [line(2050, 1900, 2900, "ЗАГЛАВІЕ ПРИБАВЛЕНІЯ КЪ СЛОВАРЮ", fs=24.0, height=120.0), line(2300, 200, 2100, "Дѣло = трудъ людей и рѣчь ихъ на земли и въ мори и въ горахъ"), line(2400, 315, 1000, "и слово людей безъ"), line(2405, 1050, 2100, "конца и края на земли"), line(2500, 700, 710, "'", conf=10)]
+    rows += [line(6300, 200, 1200, "Церк.-славян. словарь свящ. Г. Дьяченко."), line(6310, 3900, 3950, "1")]
+    lines = spark.createDataFrame(rows, "leaf int, base int, x0 int, y0 int, x1 int, y1 int, text string, fs double, height double, conf int")
+    pages = spark.createDataFrame([(1, 4252.0, 6520.0, "main", 17, 2100.0, 0.0)], "leaf int, width double, tall double, section string, page int, g0 double, g1 double")
+    told = Y.roles(lines, pages)
+    assert {r.role: r.n for r in told.groupBy("role").agg(F.count("*").alias("n")).collect()} == {"header": 3, "body": 19, "heading": 1, "noise": 1, "footer": 2}
+    none = lines.limit(0).select("leaf", "x0", "y0", "x1", "y1")
+    verdicts = spark.createDataFrame([(1, "b", 1300, "continue"), (1, "b", 1200, "start"), (1, "a", 900, "start")], "leaf int, side string, base int, verdict string")
+    got = Y.laid_out(lines, pages, none, verdicts).orderBy("n", "para", "row").collect()
+    shape = {}
+    for r in got:
+        shape.setdefault((r.n, r.para), []).append(r)
+    assert {k: len(v) for k, v in shape.items()} == {(1, 1): 4, (1, 2): 4, (2, 1): 3, (2, 2): 5, (3, 1): 2}
+    assert all(v[0].hanging for v in shape.values()) and shape[(2, 2)][0].seg == "CD" and shape[(3, 1)][1].text == "и слово людей безъ конца и края на земли"
+    assert sorted((r.n, r.para, r.measured, r.eq) for r in Y.hints(Y.laid_out(lines, pages, none, verdicts)).collect())[0] == (1, 1, "Слово", True)
+    h = Y.header_parts(told.where("role = 'header'")).first()
+    assert (h.page_number, h.guide_a, h.guide_b, h.running_title) == ("12", "АЗБ", "ВОД", "")
+    pictures = spark.createDataFrame([(1, 1900, 2060, 2300, 2200)], "leaf int, x0 int, y0 int, x1 int, y1 int")
+    assert {r.kind for r in Y.headings(told, pictures, pages).collect()} == {"text", "picture"}
+    gap = told.where("base < 1050 or base between 1450 and 1650")
+    assert [(r.kind, r.y0, r.y1) for r in Y.headings(gap, none, pages).collect()] == [("gap", 1010, 1450)]
+    assert [r.kind for r in Y.headings(gap.where("base != 1500 or x0 < 2100").where("base != 1600 or x0 < 2100"), none, pages).collect()] == []
+
+
+def test_cut_margins_are_weighed(spark):
+    pdf = [(1, "a", 0.0, 1900.0, 2100.0, "x") for _ in range(4)] + [(1, "a", 60.0, 1900.0, 2100.0, "x") for _ in range(6)] + [(1, "b", 2162.0, 4060.0, 2100.0, "=") for _ in range(6)] + [(1, "b", 2280.0, 4060.0, 2100.0, "x") for _ in range(6)]
+    import pandas as pd
+
+    got = {r[1]: r for r in Y.page_edges(pd.DataFrame(pdf, columns=["leaf", "side", "x0", "x1", "rule_x", "text"]))}
+    assert got["a"][5] is True and got["a"][6] == 60 and abs(got["b"][2] - 62) < 1 and got["b"][5] is False
+
+
+def test_parted_lines(spark):
+    rows = [(1, 1, 100, 0, "слѣва", 100, 50, 900, 110, 10.0, 90), (1, 1, 100, 1, ".", 2095, 50, 2105, 110, 10.0, 9), (1, 1, 100, 2, "справа", 2200, 50, 2900, 110, 10.0, 90)]
+    words = spark.createDataFrame(rows, "leaf int, line int, base int, k int, text string, x0 int, y0 int, x1 int, y1 int, fs double, conf int")
+    pages = spark.createDataFrame([(1, 2100.0, 0.0)], "leaf int, g0 double, g1 double")
+    assert sorted(r.text for r in Y.parted(words, pages).collect()) == ["слѣва", "справа"]
+
+
+def test_paired_lines():
+    a, b = "одинъ два\nтри четыре\nпять шесть", "одинъ два\nтри четыре\nпять шесть"
+    assert Z.paired_lines(a, [0, 10, 21], b, [0, 10, 21]) == [0, 1, 2]
+    assert Z.paired_lines(a, [0, 10, 21], b, [0, 21]) == [0, None, 1]
+    assert Z.paired_lines("одинъ два xx пять", [0, 10, 13], "одинъ два yyyyyyyy пять", [0, 16, 19]) == [0, 1, 2]  # one line in the gap on both sides
+    assert Z.paired_lines("", [0], "а", [0]) == [None] and Z.paired_lines("а", [0], "а", []) == [None]
+
+
+def test_verdicts_and_settling(spark):
+    rows = [(1, "C", k, 0 if k % 4 == 0 else 1, k % 4 == 0) for k in range(12)] + [(1, "D", k, 0 if k % 4 == 0 or k == 5 else 1, k % 4 == 0) for k in range(12)]
+    df = spark.createDataFrame(rows, "leaf int, w string, k int, level int, start boolean")
+    told = Z.witness_verdicts(df, ["leaf", "w"], "k")
+    got = {r.k: r.verdict for r in Z.agreed(told, ["leaf", "k"], "w").collect()}
+    assert got[0] == got[4] == got[8] == "start" and 5 not in got and got[1] == "continue"
+    state = spark.createDataFrame([(1, 5), (2, 1)], "k int, v int")
+    end, changed = Z.settled(state, lambda s: s.withColumn("v", F.least(F.col("v") + 1, F.lit(6))), ["k"], most=9)
+    assert {r.k: r.v for r in end.collect()} == {1: 6, 2: 6} and changed == [2, 1, 1, 1, 1, 0]
+
+
+def test_sinks(spark, tmp_path):
+    pages = spark.createDataFrame([(1, "а"), (2, "б")], "leaf int, text string")
+    U.write_pages(pages, str(tmp_path / "p"))
+    U.write_pages(spark.createDataFrame([(2, "в")], "leaf int, text string"), str(tmp_path / "p"))
+    assert sorted((r.leaf, r.text) for r in spark.read.parquet(str(tmp_path / "p")).collect()) == [(1, "а"), (2, "в")]
+    samples = spark.createDataFrame([("x", "val", "т"), ("y", "train", "т"), ("z", "train", None)], "id string, split string, text string")
+    assert {r.split: r.n for r in U.write_samples(samples, str(tmp_path / "s")).collect()} == {"val": 1, "train": 2}
+    assert sorted(r.value for r in spark.read.text(str(tmp_path / "s/lists")).where("split = 'train'").collect()) == ["y", "z"]
+    asked = []
+    registry = {"c": lambda leaves: (asked.append(sorted(r.leaf for r in leaves.collect())), leaves.withColumn("text", F.concat(F.lit("t"), "leaf")))[1]}
+    get = lambda leaves, **how: sorted(r.text for r in U.candidates(spark, str(tmp_path / "c"), registry, "c", spark.createDataFrame([(x,) for x in leaves], "leaf int"), **how).collect())
+    assert get([1, 2]) == ["t1", "t2"] and get([2, 3]) == ["t2", "t3"] and get([3], refresh=True) == ["t3"] and asked == [[1, 2], [3], [3]]
+    dump = U.page_dump(spark.createDataFrame([(1, 2, "б", None), (1, 1, "а", 3)], "leaf int, line int, text string, x int"), ["leaf"], ["line"])
+    assert [r.value for r in dump.collect()] == ['{"line":1,"text":"а","x":3}', '{"line":2,"text":"б"}']
+
+
+def test_stored_readings(spark):
+    hints = spark.createDataFrame([(1, "Слово = рѣчь", None), (2, "Дѣло", ""), (3, "x", "y"), (4, None, None)], "k int, d string, c string")
+    read = spark.createDataFrame([(1, "Слѡво", "vision", 1), (1, "Слова", "vision", 0), (2, "Тѣло", "manual", 1), (3, None, "manual", 1)], "k int, reading string, source string, read_at int")
+    got = {r.k: (r.headword, r.confirmed_by, r.check) for r in U.stored_readings(hints, read, ["k"], {"D": "d", "C": "c"}).collect()}
+    assert got == {1: ("Слѡво", "D", "confirmed"), 2: ("Тѣло", "", "disputed"), 3: (None, None, "no_entry"), 4: (None, None, None)}
