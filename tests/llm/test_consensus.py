@@ -82,3 +82,15 @@ def test_alpha(spark):
     every = [x for v in units for x in v]
     expected = sum(a != b for a, b in itertools.permutations(every, 2)) / (n * (n - 1))
     assert abs(got.alpha - (1 - apart / expected)) < 1e-5 and got.answers == n
+
+
+def test_many_annotators(spark, monkeypatch):
+    """Beyond the number of annotators that are broadcast the result is the same."""
+    truth, rows = planted()
+    items, labels = frames(spark, rows, truth)
+    near = {r.item_id: (r.label, r.confidence) for r in C.consensus(items, labels)[0].collect()}
+    monkeypatch.setattr(C, "BROADCAST_ANNOTATORS", 0)
+    far = {r.item_id: (r.label, r.confidence) for r in C.consensus(items, labels)[0].collect()}
+    assert {k: v[0] for k, v in near.items()} == {k: v[0] for k, v in far.items()} and all(abs(near[k][1] - far[k][1]) < 1e-4 for k in near)
+    told = C.convergence(items, labels).first()
+    assert told.rounds > 0 and told.converged == (told.largest_change < 0.01)
