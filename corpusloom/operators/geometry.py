@@ -70,10 +70,10 @@ def circular(angle: Column) -> tuple[Column, Column]:
     return F.atan2(s, c), F.hypot(c, s)
 
 
-def upper_median(values: Column) -> Column:
-    """The aggregate that is the middle value, of an even number the upper one."""
-    ordered = F.array_sort(F.collect_list(values))
-    return F.element_at(ordered, (F.floor(F.size(ordered) / 2) + 1).cast("int"))
+def upper_median(values: str) -> Column:
+    """The aggregate that is the middle value of a SQL expression, of an even number the upper one. A task keeps how often each
+    value stands, not the values."""
+    return F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY {values} DESC)")
 
 
 def mode_low(df: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
@@ -142,7 +142,7 @@ def reading_order(words: DataFrame, keys: list[str], width: str) -> DataFrame:
     side a or b of the gutter; a line goes on while the next word's middle is within 0.6 of the median height."""
     real = words.where(F.trim(F.coalesce("text", F.lit(""))) != "")
     sided = real.join(gutter(real, keys, width), keys).withColumn("side", F.when((F.col("x0") + F.col("x1")) / 2 < F.col("gutter"), "a").otherwise("b"))
-    heights = sided.groupBy(*keys).agg(upper_median(F.col("y1") - F.col("y0")).alias("_h"))
+    heights = sided.groupBy(*keys).agg(upper_median("y1 - y0").alias("_h"))
     w = Window.partitionBy(*keys, "side").orderBy("_mid", "x0", "text")
     mid = sided.join(heights, keys).withColumn("_mid", (F.col("y0") + F.col("y1")) / 2)
     new = F.coalesce(F.col("_mid") - F.lag("_mid").over(w) > 0.6 * F.col("_h"), F.lit(True))

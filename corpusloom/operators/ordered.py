@@ -16,11 +16,17 @@ def _w(keys: list[str], order: list) -> Window:
     return Window.partitionBy(*keys).orderBy(*order)
 
 
-def islands(df: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """keys, lo, hi, n of each run of consecutive whole numbers; repeated and NULL values count once and not at all."""
-    distinct = df.select(*keys, value).where(F.col(value).isNotNull()).distinct()
-    run = F.col(value) - F.row_number().over(_w(keys, [value]))
-    return distinct.withColumn("_run", run).groupBy(*keys, "_run").agg(F.min(value).alias("lo"), F.max(value).alias("hi"), F.count("*").alias("n")).drop("_run")
+def islands(df: DataFrame, keys: list[str], value: str, piece: int = 10_000) -> DataFrame:
+    """keys, lo, hi, n of each run of consecutive whole numbers; repeated and NULL values count once and not at all. Runs are
+    found within pieces of the number line, so that a key with very many numbers is shared among tasks, and runs that meet
+    at the edges of pieces are put together, of which there are few."""
+    distinct = df.select(*keys, value).where(F.col(value).isNotNull()).distinct().withColumn("_piece", F.floor(F.col(value) / piece))
+    run = F.col(value) - F.row_number().over(_w([*keys, "_piece"], [value]))
+    runs = distinct.withColumn("_run", run).groupBy(*keys, "_piece", "_run").agg(F.min(value).alias("lo"), F.max(value).alias("hi"), F.count("*").alias("n"))
+    w = _w(keys, ["lo"])
+    fresh = F.coalesce(F.lag("hi").over(w) + 1 != F.col("lo"), F.lit(True)).cast("int")
+    met = runs.withColumn("_fresh", fresh).withColumn("_g", F.sum("_fresh").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    return met.groupBy(*keys, "_g").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("n").alias("n")).drop("_g")
 
 
 def compact_ranges(df: DataFrame, keys: list[str], value: str, name: str = "ranges") -> DataFrame:

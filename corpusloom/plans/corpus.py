@@ -47,7 +47,8 @@ def forms_not_in_dictionary(spark, d):
 
 
 def forms_not_attested(spark, d):
-    return _forms(spark, d).select("form").distinct().join(_tokens(spark, d).select("form"), "form", "left_anti")
+    seen = _tokens(spark, d).select("form").distinct()  # each task's own forms once, before they are shuffled
+    return _forms(spark, d).select("form").distinct().join(seen, "form", "left_anti")
 
 
 def form_claimed_twice(spark, d):

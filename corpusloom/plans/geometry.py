@@ -82,7 +82,7 @@ def line_statistics(spark, d):
     """Per leaf: upper median of line heights, the most frequent indent (the smallest of equals), quartiles of widths."""
     lines = page_lines(spark, d)
     stats = lines.groupBy("leaf").agg(
-        G.upper_median(F.col("y1") - F.col("y0")).alias("height"), F.percentile(F.col("x1") - F.col("x0"), [0.25, 0.75]).alias("q"), F.count("*").alias("lines")
+        G.upper_median("y1 - y0").alias("height"), F.percentile(F.col("x1") - F.col("x0"), [0.25, 0.75]).alias("q"), F.count("*").alias("lines")
     )
     mode = G.mode_low(lines, ["leaf"], "ind", "indent")
     return stats.join(mode, "leaf", "left").select("leaf", "lines", "height", "indent", F.col("q")[0].alias("q1"), F.col("q")[1].alias("q3"))
@@ -121,7 +121,7 @@ def event_phase(spark, d):
 def price_statistics(spark, d):
     """Upper median, the most frequent value and percentiles of quantities by supplier."""
     li = table(spark, d, "lineitem").select("l_suppkey", F.col("l_quantity").cast("int").alias("q"))
-    stats = li.groupBy("l_suppkey").agg(G.upper_median(F.col("q")).alias("upper"), F.percentile("q", [0.01, 0.6]).alias("p"))
+    stats = li.groupBy("l_suppkey").agg(G.upper_median("q").alias("upper"), F.percentile("q", [0.01, 0.6]).alias("p"))
     return stats.join(G.mode_low(li, ["l_suppkey"], "q", "mode"), "l_suppkey").select("l_suppkey", "upper", "mode", "times", F.round(F.col("p")[0], 4).alias("p1"), F.round(F.col("p")[1], 4).alias("p60"))
 
 

@@ -123,7 +123,7 @@ def test_statistics(spark):
     assert abs(got.m) < 1e-9 and abs(got.s - math.cos(0.1)) < 1e-9
     df = spark.createDataFrame([(1, 4), (1, 2), (1, 2), (1, 4), (2, None)], "k int, v int")
     assert [(r.k, r.m) for r in G.mode_low(df, ["k"], "v", "m").collect()] == [(1, 2)]
-    assert df.where("k = 1").agg(G.upper_median(F.col("v")).alias("m")).first().m == 4
+    assert df.where("k = 1").agg(G.upper_median("v").alias("m")).first().m == 4
     conf = spark.createDataFrame([(1,), (2,), (-1,), (None,)], "c int").agg(G.mean_confidence(F.col("c")).alias("m")).first().m
     assert conf == 2 and spark.createDataFrame([(-1,)], "c int").agg(G.mean_confidence(F.col("c")).alias("m")).first().m == -1
 
@@ -158,3 +158,12 @@ def test_upkeep(spark, tmp_path):
     U.write_table(df, str(tmp_path / "t"), ["v"])
     U.write_table(df.where("v = 1").withColumn("s", F.lit("again")), str(tmp_path / "t"), ["v"])
     assert spark.read.parquet(str(tmp_path / "t")).where("s = 'again'").count() == 33
+
+
+def test_islands_over_pieces(spark):
+    """Runs that go over the edges of pieces are one."""
+    values = [1, 2, 3, 9, 10, 11, 12, 29, 30, 31, -1, 0, 31, None]
+    df = spark.createDataFrame([(1, v) for v in values] + [(2, 20)], "k int, v int")
+    for piece in (1, 2, 10, 1000):
+        got = sorted((r.k, r.lo, r.hi, r.n) for r in O.islands(df, ["k"], "v", piece).collect())
+        assert got == [(1, -1, 3, 5), (1, 9, 12, 4), (1, 29, 31, 3), (2, 20, 20, 1)]
