@@ -26,7 +26,10 @@ from corpusloom.llm.tokens import VOCABULARY, with_tokens
 from corpusloom.session import cut
 
 SEED = 17
-PIECES = 256
+#: A pattern's order is cut into 2 to the power of this pieces.
+PIECE_BITS = 12
+#: Sets of sources that share texts; more are refused, as the flow is solved by one task.
+MOST_PATTERNS = 100_000
 
 
 class Flow:
@@ -129,7 +132,7 @@ def _texts(documents: DataFrame, targets: DataFrame, path: str) -> DataFrame:
 def tape(texts: DataFrame) -> DataFrame:
     """Texts with ``start``, the running sum of tokens before them in their pattern's seeded order."""
     at = F.xxhash64("text_key", F.lit(SEED))
-    placed = texts.withColumn("at", at).withColumn("piece", F.shiftrightunsigned("at", 56).cast("int"))
+    placed = texts.withColumn("at", at).withColumn("piece", F.shiftrightunsigned("at", 64 - PIECE_BITS).cast("int"))
     sums = placed.groupBy("pattern", "piece").agg(F.sum("tokens").alias("n"))
     before = F.coalesce(F.sum("n").over(Window.partitionBy("pattern").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     sums = sums.select("pattern", "piece", before.alias("offset"))
@@ -142,7 +145,10 @@ def mix(documents: DataFrame, targets: DataFrame, path: str = VOCABULARY) -> Dat
     """doc_id, source, tokens, copies of every chosen document."""
     spark = documents.sparkSession
     texts = cut(_texts(documents, targets, path))
-    patterns = {r["pattern"]: r["n"] for r in texts.groupBy("pattern").agg(F.sum("tokens").alias("n")).collect()}
+    found = texts.groupBy("pattern").agg(F.sum("tokens").alias("n")).limit(MOST_PATTERNS + 1).collect()
+    if len(found) > MOST_PATTERNS:
+        raise ValueError(f"more than {MOST_PATTERNS} different sets of sources share texts")
+    patterns = {r["pattern"]: r["n"] for r in found}
     rows = targets.groupBy("source").agg(F.max("target_share").alias("share"), F.max("max_repeats").alias("times")).collect()
     have = {s for p in patterns for s in p.split("|")}
     shares = {r["source"]: r["share"] or 0.0 for r in rows if r["source"] in have and (r["share"] or 0) > 0 and (r["times"] or 0) > 0}
