@@ -401,9 +401,10 @@ def vocabulary(values: DataFrame, titles: tuple[str, ...] = TITLES, pairs: bool
 
 def found(values: DataFrame, titles: tuple[str, ...] = TITLES) -> DataFrame:
     """tbl, row_key, field, kind of each kind of noise in each value."""
-    voc = vocabulary(values, titles)
+    sent = values.sparkSession.sparkContext.broadcast(vocabulary(values, titles))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        voc = sent.value
         for pdf in batches:
             rows = []
             for tbl, key, field, head, text in pdf.itertuples(index=False, name=None):
@@ -415,9 +416,10 @@ def found(values: DataFrame, titles: tuple[str, ...] = TITLES) -> DataFrame:
 
 def repair(values: DataFrame, titles: tuple[str, ...] = TITLES) -> DataFrame:
     """tbl, row_key, field, text of each value, repaired; repeated rows stay."""
-    voc = vocabulary(values, titles, pairs=True)
+    sent = values.sparkSession.sparkContext.broadcast(vocabulary(values, titles, pairs=True))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        voc = sent.value
         for pdf in batches:
             out = pdf[["tbl", "row_key", "field"]].copy()
             out["text"] = [repaired(t, voc, h, titles) for t, h in zip(pdf["text"], pdf["head"])]
