@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from hashlib import md5
+
 from pyspark.sql import functions as F
 
 from corpusloom.operators import upkeep as U
@@ -65,7 +67,7 @@ def psv_round_trip(spark, d):
 
 def tsv_round_trip(spark, d):
     """The entries written as unquoted tab-separated text and read again."""
-    path = f"{shared_dir(spark).rstrip('/')}/tsv-{spark.sparkContext.applicationId}-{abs(hash(d))}"
+    path = f"{shared_dir(spark).rstrip('/')}/tsv-{spark.sparkContext.applicationId}-{md5(d.encode()).hexdigest()[:12]}"
     e = table(spark, d, "entries").select("id", "headword", "sep", "gram", "status").distinct()
     U.write_tsv(e, path)
     return S.read_tsv(spark, path, "id string, headword string, sep string, gram string, status string")
