@@ -11,11 +11,13 @@ from corpusloom.functions import text as X
 from corpusloom.operators import entries as E
 from corpusloom.operators import evaluate as V
 from corpusloom.operators import geometry as G
+from corpusloom.operators import labels as B
 from corpusloom.operators import layout as L
 from corpusloom.operators import ordered as O
 from corpusloom.operators import pagelayout as Y
 from corpusloom.operators import pages as P
 from corpusloom.operators import pagetext as T
+from corpusloom.operators import requests as R
 from corpusloom.operators import segmentation as Z
 from corpusloom.operators import upkeep as U
 from corpusloom.operators.shred import latest, shredded
@@ -510,9 +512,68 @@ def stored_readings(spark, d):
     return U.stored_readings(p, r, ["id"], {"D": "d", "M": "m"}).select("id", "headword", "headword_source", "confirmed_by", "check")
 
 
+def label_samples(spark, d):
+    """Lines to learn from: those of the voted text that keeps its printed lines, beside d's where it has as many."""
+    p = table(spark, d, "paragraphs").groupBy("para_id", "leaf", "col", "para").agg(F.max("text_merged").alias("text"), F.max("text_d").alias("d"), F.max("disputed").alias("spans"))
+    p = p.where("size(split(text, '\n')) = size(split(d, '\n'))")
+    spans = F.transform(F.filter(F.coalesce("spans", F.array().cast("array<array<int>>")), lambda x: F.size(x) == 2), lambda x: F.struct(x[0].alias("s"), x[1].alias("e"))).cast("array<struct<s:int,e:int>>")
+    lines = p.select("leaf", F.col("col").alias("n"), "para", "text", spans.alias("disputed"), "d", F.posexplode(F.split("text", "\n")).alias("i", "line"))
+    w = Window.partitionBy("leaf", "n", "para").orderBy("i")
+    b0 = F.coalesce(F.sum(F.length("line") + 1).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("int")
+    lines = lines.withColumn("b0", b0).withColumn("b1", (F.col("b0") + F.length("line")).cast("int")).withColumn("read", F.get(F.split("d", "\n"), F.col("i")))
+    rows = lines.select("leaf", "n", (F.col("para") * 100 + F.col("i")).alias("k"), (F.col("i") + 1).alias("row"), "text", "disputed", "b0", "b1", F.lit(False).alias("hyphen"), "read",
+                        F.lit(100).alias("x0"), F.lit(1000).alias("x1"), F.lit(4000).alias("width"), F.lit(False).alias("cut"))
+    return B.labelled(rows)
+
+
+def page_requests(spark, d):
+    """A request for each leaf's provisional heads, in batches of 250 leaves."""
+    e = table(spark, d, "entries").where("hw_source = 'D' and headword is not null").groupBy("id").agg(F.max("headword").alias("h"))
+    return R.requests(e.withColumn("leaf", F.split("id", "-")[0].try_cast("int")), "leaf", ["id"], "h", [("Слѡво", "Слѡво"), ("■", None)])
+
+
+def request_ledger(spark, d):
+    """The batches of ``page_requests``."""
+    return R.ledger(page_requests(spark, d), "leaf")
+
+
+def review_sheets(spark, d):
+    """Sheets of fifteen heads that two readers read otherwise, drawn by seed: a line for the reviewer each."""
+    drawn = U.seeded_sample(reader_disagreements(spark, d), "id", 7, 60)
+    place = F.row_number().over(Window.orderBy("id")) - 1  # sixty rows
+    k = (place % 15 + 1).cast("string")
+    return drawn.select((F.floor(place / 15) + 1).cast("int").alias("sheet"), "id", F.concat_ws("\t", k, F.col("id"), F.concat(F.lit("a: "), "h"), F.concat(F.lit("b: "), "c"), F.lit("")).alias("line"))
+
+
+def validation_lines(spark, d):
+    """The report of the entries' flags: three hundred of each flag, and how many more there are."""
+    e = table(spark, d, "entries").groupBy("id").agg(*[F.max(c).alias(c) for c in ("page", "col", "headword", "sep", "definition", "flags")])
+    each = e.withColumn("flag", F.explode(F.split(F.coalesce("flags", F.lit("")), ";"))).where("flag != ''")
+    text = F.coalesce("definition", F.lit(""))
+    line = F.concat(F.lit("- `"), "id", F.lit("` p. "), F.coalesce("page", F.lit("")), F.coalesce("col", F.lit("")), F.lit(" **"), F.coalesce("headword", F.lit("")), F.lit("** "), F.coalesce("sep", F.lit("")), F.lit(" "),
+                    F.substring(text, 1, 70), F.when(F.length(text) > 70, "…").otherwise(""))
+    ranked = each.select("flag", "id", line.alias("line")).withColumn("place", F.row_number().over(Window.partitionBy("flag").orderBy("id")))
+    more = each.groupBy("flag").agg((F.count("*") - 300).alias("n")).where("n > 0").select("flag", F.lit(301).alias("place"), F.concat(F.lit("- … and "), F.col("n").cast("string"), F.lit(" more")).alias("line"))
+    return ranked.where("place <= 300").select("flag", "place", "line").unionByName(more)
+
+
+def errata_summary(spark, d):
+    """How many corrections were found in the paragraph of their line, elsewhere on the page, or not."""
+    from corpusloom.plans.corrections import errata_located
+
+    return errata_located(spark, d).groupBy("how").agg(F.count("*").alias("n"))
+
+
+def letter_index(spark, d):
+    """The index of letters of the dictionary, in order."""
+    w = table(spark, d, "dictionary_psv").where("lemma is not null").select(F.upper(F.substring(X.sort_key(F.col("lemma")), 1, 1)).alias("letter")).where("letter != ''").distinct()
+    link = F.transform(F.array_sort(F.collect_list("letter")), lambda x: F.concat(F.lit("["), x, F.lit("](#"), F.lower(x), F.lit(")")))
+    return w.agg(F.array_join(link, " · ").alias("line"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (laid_out_lines, layout_hints, paired_lines, line_verdicts, page_rows, stored_readings, head_hints, parsed_entries, merged_texts, voted_pages, page_texts, side_levels, column_edges, line_gutters, lines_of_letters, nearest_openings, word_hosts, merged_rows,
+    for f in (label_samples, page_requests, request_ledger, review_sheets, validation_lines, errata_summary, letter_index, laid_out_lines, layout_hints, paired_lines, line_verdicts, page_rows, stored_readings, head_hints, parsed_entries, merged_texts, voted_pages, page_texts, side_levels, column_edges, line_gutters, lines_of_letters, nearest_openings, word_hosts, merged_rows,
               suspect_readings, text_differences, head_readings, doubtful_starts, line_markers, witness_coverage, label_forms, same_heads, head_types, head_fits, typst_entries,
               alphabet_names, leaf_arithmetic, encoded_texts, letter_runs, page_report, margin_sides, reader_disagreements, letter_checks, letter_sections, typst_sections, form_pages,
               layer_round_trip, text_checks)
@@ -563,4 +624,14 @@ ORACLE = {
         al AS (SELECT leaf, coalesce(columns, 0) AS columns, coalesce(paragraphs, 0) AS paragraphs, coalesce(lines, 0) AS lines, coalesce(eq_signs, 0) AS eq_signs, coalesce(hints, 0) AS hints, coalesce(hints_eq, 0) AS hints_eq
         FROM cur LEFT JOIN pa USING (leaf) LEFT JOIN li USING (leaf) LEFT JOIN hi USING (leaf))
         SELECT leaf, sum(columns)::BIGINT AS columns, sum(paragraphs)::BIGINT AS paragraphs, sum(lines)::BIGINT AS lines, sum(eq_signs)::BIGINT AS eq_signs, sum(hints)::BIGINT AS hints, sum(hints_eq)::BIGINT AS hints_eq FROM al GROUP BY ROLLUP (leaf)""",
+    "review_sheets": rf"""WITH e AS (SELECT id, max(headword) AS h, max(headword_civil) AS c, max(status) AS status FROM entries WHERE headword IS NOT NULL AND headword_civil IS NOT NULL GROUP BY id),
+        r AS (SELECT id, h, c FROM e WHERE {X.civil_sql('h')} <> c AND coalesce(status, '') <> 'checked' AND id NOT IN (SELECT id FROM entries WHERE hw_source = 'manual')),
+        s AS (SELECT * FROM r ORDER BY md5('7/' || id), id LIMIT 60), p AS (SELECT *, row_number() OVER (ORDER BY id) - 1 AS k FROM s)
+        SELECT (k // 15 + 1)::INT AS sheet, id, (k % 15 + 1)::VARCHAR || chr(9) || id || chr(9) || 'a: ' || h || chr(9) || 'b: ' || c || chr(9) AS line FROM p""",
+    "validation_lines": """WITH e AS (SELECT id, max(page) AS page, max(col) AS col, max(headword) AS h, max(sep) AS sep, coalesce(max(definition), '') AS d, max(flags) AS flags FROM entries GROUP BY id),
+        x AS (SELECT *, unnest(string_split(coalesce(flags, ''), ';')) AS flag FROM e), f AS (SELECT flag, row_number() OVER (PARTITION BY flag ORDER BY id)::INT AS place, '- `' || id || '` p. ' || coalesce(page, '') || coalesce(col, '') || ' **' || coalesce(h, '') || '** ' ||
+        coalesce(sep, '') || ' ' || left(d, 70) || CASE WHEN length(d) > 70 THEN '…' ELSE '' END AS line FROM x WHERE flag <> '')
+        SELECT * FROM f WHERE place <= 300 UNION ALL SELECT flag, 301, '- … and ' || (count(*) - 300)::VARCHAR || ' more' FROM f GROUP BY flag HAVING count(*) > 300""",
+    "letter_index": r"""WITH k AS (SELECT DISTINCT upper(left(trim(lower(replace(regexp_replace(lemma, '\s*\([^)]*\)', '', 'g'), chr(769), '')), ' '), 1)) AS l FROM dictionary_psv WHERE lemma IS NOT NULL)
+        SELECT string_agg('[' || l || '](#' || lower(l) || ')', ' · ' ORDER BY l) AS line FROM k WHERE l <> ''""",
 }
