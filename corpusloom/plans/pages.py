@@ -22,7 +22,7 @@ from corpusloom.operators import segmentation as Z
 from corpusloom.operators import upkeep as U
 from corpusloom.operators.shred import latest, shredded
 from corpusloom.plans.geometry import page_lines
-from corpusloom.plans.pagesql import LINES, PAGE_LINES, each, scalar
+from corpusloom.plans.pagesql import CHILDREN, LINES, PAGE_LINES, WORDS, each, scalar
 from corpusloom.session import table
 from corpusloom.sources import witness as W
 from corpusloom.sources.delimited import parse_truth
@@ -634,4 +634,21 @@ ORACLE = {
         SELECT * FROM f WHERE place <= 300 UNION ALL SELECT flag, 301, '- … and ' || (count(*) - 300)::VARCHAR || ' more' FROM f GROUP BY flag HAVING count(*) > 300""",
     "letter_index": r"""WITH k AS (SELECT DISTINCT upper(left(trim(lower(replace(regexp_replace(lemma, '\s*\([^)]*\)', '', 'g'), chr(769), '')), ' '), 1)) AS l FROM dictionary_psv WHERE lemma IS NOT NULL)
         SELECT string_agg('[' || l || '](#' || lower(l) || ')', ' · ' ORDER BY l) AS line FROM k WHERE l <> ''""",
+    "word_hosts": f"""WITH {WORDS}, fr AS (SELECT DISTINCT leaf, n, y0, y1 FROM wd), lx AS (SELECT leaf, n, para || '/' || line AS id, y0::DOUBLE AS a, y1::DOUBLE AS b FROM ln),
+        j AS (SELECT fr.*, id, row_number() OVER (PARTITION BY fr.leaf, fr.n, fr.y0, fr.y1 ORDER BY least(b, y1) - greatest(a, y0) DESC, id) AS k FROM fr LEFT JOIN lx ON lx.leaf = fr.leaf AND lx.n = fr.n AND least(b, y1) - greatest(a, y0) > 0)
+        SELECT leaf, n, 'w:' || y0 || ':' || y1 AS fragment, id AS host FROM j WHERE k = 1""",
+    "letter_checks": f"""WITH {CHILDREN}, m AS (SELECT idx AS leaf, max(letter) AS letter FROM manifest GROUP BY idx), x AS (SELECT leaf, unnest(regexp_split_to_array(coalesce(letter, ''), '[,\\s]+')) AS letter FROM m),
+        f AS (SELECT letter, min(leaf) AS leaf FROM x WHERE letter <> '' GROUP BY letter), s AS (SELECT leaf, count(*) AS starts FROM f GROUP BY leaf), hd AS (SELECT idx AS leaf, count(*) AS headings FROM ch WHERE kind = 'heading' GROUP BY idx)
+        SELECT leaf, coalesce(starts, 0) AS starts, coalesce(headings, 0) AS headings FROM (SELECT leaf FROM cur) LEFT JOIN s USING (leaf) LEFT JOIN hd USING (leaf) WHERE coalesce(starts, 0) <> coalesce(headings, 0)""",
+    "margin_sides": """WITH w AS (SELECT leaf, unnest(TRY_CAST(json_extract(CASE WHEN json_valid(body) THEN body::JSON END, '$.warnings') AS VARCHAR[])) AS w FROM page_json)
+        SELECT DISTINCT leaf, side FROM (SELECT leaf, regexp_extract(w, '(?:side|column) ([ab])', 1) AS side FROM w WHERE contains(lower(w), 'margin')) WHERE side <> ''""",
+    "doubtful_starts": f"""WITH {PAGE_LINES}, q AS (SELECT leaf, n, para, line AS row, text, x1, ind, coalesce(hanging, false) AND line = 1 AS s FROM ln WHERE text IS NOT NULL),
+        r AS (SELECT *, row_number() OVER (PARTITION BY leaf, n ORDER BY x1) AS r, count(*) OVER (PARTITION BY leaf, n) AS total, lag(text) OVER w AS before, lag(x1) OVER w AS bx FROM q WINDOW w AS (PARTITION BY leaf, n ORDER BY para, row)),
+        e AS (SELECT leaf, n, quantile_cont(x1, 0.5) AS edge FROM r WHERE r > floor(total / 3) GROUP BY leaf, n),
+        t AS (SELECT leaf, n, para, row, text, before, CASE WHEN NOT s AND ind = 1 AND strpos(text, '=') > 0 AND strpos(text, '=') - 1 < length(text) * 0.4 AND bx < edge - 120 THEN 'missed'
+        WHEN s AND strpos(text, '=') = 0 AND NOT regexp_matches(text, '\\s[—-]\\s') AND regexp_matches(before, '[¬-]$') THEN 'false' END AS what FROM r JOIN e USING (leaf, n) WHERE total >= 4 AND before IS NOT NULL)
+        SELECT leaf, n, para, row, what, right(before, 20) AS before, left(text, 50) AS line FROM t WHERE what IS NOT NULL""",
+    "request_ledger": """WITH l AS (SELECT DISTINCT split_part(id, '-', 1)::INT AS leaf FROM entries WHERE hw_source = 'D' AND headword IS NOT NULL), b AS (SELECT leaf, ((row_number() OVER (ORDER BY leaf) - 1) // 250)::INT AS batch FROM l),
+        g AS (SELECT batch, leaf, leaf - row_number() OVER (PARTITION BY batch ORDER BY leaf) AS k FROM b), r AS (SELECT batch, min(leaf) AS lo, max(leaf) AS hi, count(*) AS n FROM g GROUP BY batch, k)
+        SELECT batch, string_agg(CASE WHEN lo = hi THEN lo::VARCHAR ELSE lo || '-' || hi END, ',' ORDER BY lo) AS pages, sum(n)::BIGINT AS n, 'submitted' AS status FROM r GROUP BY batch""",
 }

@@ -72,7 +72,7 @@ QUERIES = {
 }
 
 _DIS = "x AS (SELECT DISTINCT item_id, para_id, s, e, coalesce(read_d, '') AS d, coalesce(read_b, '') AS b, coalesce(read_a, '') AS a FROM disputes)"
-_ANS = r"""named AS (SELECT item_id, replace(trim(regexp_replace(trim(regexp_replace(lower(annotator), '[^\p{L}\p{N}]+', ' ', 'g')), ' +', ' ', 'g')), ' ', '-') AS annotator, labelled_at, received_at, label_id,
+ANSWERS = r"""named AS (SELECT item_id, replace(trim(regexp_replace(trim(regexp_replace(lower(annotator), '[^\p{L}\p{N}]+', ' ', 'g')), ' +', ' ', 'g')), ' ', '-') AS annotator, labelled_at, received_at, label_id,
     regexp_replace(trim(regexp_replace(lower(label), '[^\p{L}\p{N}]+', ' ', 'g')), '^(?:wit|witness|text|read|reading) +', '') AS word FROM dispute_labels WHERE item_id IS NOT NULL),
     lst AS (SELECT *, row_number() OVER (PARTITION BY item_id, annotator ORDER BY labelled_at DESC NULLS LAST, received_at DESC NULLS LAST, label_id DESC NULLS LAST) AS k FROM named WHERE annotator <> ''),
     ans AS (SELECT item_id, annotator, CASE WHEN word IN ('x', 'none') THEN 'x' ELSE word END AS label FROM lst WHERE k = 1 AND word IN ('d', 'b', 'a', 'x', 'none'))"""
@@ -80,12 +80,12 @@ _FIXED = "(b <> d AND b = a AND ('' <> d OR (contains(b, '=') AND NOT contains(d
 
 ORACLE = {
     "word_votes": f"WITH {_DIS} SELECT item_id, CASE WHEN {_FIXED} THEN b ELSE d END AS reading, {_FIXED} AS fixed, b <> d AND NOT {_FIXED} AS still_disputed FROM x",
-    "majority_labels": f"""WITH {_ANS}, c AS (SELECT item_id, label, count(*) AS votes, min(CASE WHEN regexp_full_match(annotator, 'reader-(0[1-9]|1[0-9]|2[0-4])') THEN right(annotator, 2)::INT ELSE 25 END) AS r FROM ans GROUP BY ALL)
+    "majority_labels": f"""WITH {ANSWERS}, c AS (SELECT item_id, label, count(*) AS votes, min(CASE WHEN regexp_full_match(annotator, 'reader-(0[1-9]|1[0-9]|2[0-4])') THEN right(annotator, 2)::INT ELSE 25 END) AS r FROM ans GROUP BY ALL)
         SELECT item_id, label, votes FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY votes DESC, r) AS k FROM c) WHERE k = 1""",
     "reader_agreement": """WITH p AS (SELECT para_id, max(text_merged) AS t FROM paragraphs GROUP BY para_id),
         x AS (SELECT DISTINCT item_id, para_id, s, e, read_d, read_b, read_a FROM disputes), j AS (SELECT x.*, substr(t, s + 1, e - s) AS truth FROM x LEFT JOIN p USING (para_id)),
         r AS (SELECT 'read_d' AS x, 'read_b' AS y, read_d AS u, read_b AS v, truth FROM j UNION ALL SELECT 'read_d', 'read_a', read_d, read_a, truth FROM j UNION ALL SELECT 'read_b', 'read_a', read_b, read_a, truth FROM j)
         SELECT x, y, count(*) FILTER (u IS NOT DISTINCT FROM v) AS agree, count(*) FILTER (u IS NOT DISTINCT FROM v AND u IS NOT DISTINCT FROM truth) AS right_agreed,
         count(*) FILTER (u IS NOT DISTINCT FROM truth OR v IS NOT DISTINCT FROM truth) AS right_either, count(*) AS n FROM r GROUP BY x, y""",
-    "unanimous_items": f"WITH {_ANS} SELECT item_id, min(label) AS label FROM ans GROUP BY item_id HAVING count(DISTINCT annotator) >= 3 AND min(label) = max(label)",
+    "unanimous_items": f"WITH {ANSWERS} SELECT item_id, min(label) AS label FROM ans GROUP BY item_id HAVING count(DISTINCT annotator) >= 3 AND min(label) = max(label)",
 }
