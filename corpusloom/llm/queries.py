@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from corpusloom.llm import consensus, lookalikes, matching, mixing, packing, scanned, toxicity
+from corpusloom.plans.readings import ANSWERS
 from corpusloom.session import table
 
 HEADS = ["headword", "headword_civil", "headword_key"]
@@ -114,4 +115,10 @@ QUERIES = {
     "p8_scores": p8_scores,
     "p8_rates": p8_rates,
 }
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "p2_agreement": f"""WITH {ANSWERS}, e AS (SELECT ans.* FROM ans WHERE item_id IN (SELECT item_id FROM disputes)),
+        i AS (SELECT item_id, count(*) AS n, count(*) FILTER (label = 'd') AS d, count(*) FILTER (label = 'b') AS b, count(*) FILTER (label = 'a') AS a, count(*) FILTER (label = 'x') AS x FROM e GROUP BY item_id HAVING count(*) > 1),
+        s AS (SELECT count(*) AS items, sum(n)::BIGINT AS answers, sum(n - (d * (d - 1) + b * (b - 1) + a * (a - 1) + x * (x - 1)) / (n - 1)) AS apart, sum(d) AS d, sum(b) AS b, sum(a) AS a, sum(x) AS x FROM i),
+        o AS (SELECT items, answers, apart / answers AS o, 1 - (d * (d - 1) + b * (b - 1) + a * (a - 1) + x * (x - 1)) / (answers::DOUBLE * (answers - 1)) AS e FROM s)
+        SELECT items, coalesce(answers, 0) AS answers, round(o, 6) AS observed, round(e, 6) AS expected, round(CASE WHEN e > 0 THEN 1 - o / e END, 6) AS alpha FROM o""",
+}
