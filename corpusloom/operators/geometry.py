@@ -137,20 +137,6 @@ def column_rule(seps: DataFrame, keys: list[str], width: str) -> DataFrame:
     return sums.withColumn("_g", slope).select(*keys, F.round((F.col("_x") - F.col("_g") * F.col("_y")) / F.col("_w"), 1).alias("g0"), F.round("_g", 5).alias("g1"))
 
 
-def reading_order(words: DataFrame, keys: list[str], width: str) -> DataFrame:
-    """keys, side, line, text: words (text, x0, y0, x1, y1) in lines, lines by side from top to bottom. A word belongs to
-    side a or b of the gutter; a line goes on while the next word's middle is within 0.6 of the median height."""
-    real = words.where(F.trim(F.coalesce("text", F.lit(""))) != "")
-    sided = real.join(gutter(real, keys, width), keys).withColumn("side", F.when((F.col("x0") + F.col("x1")) / 2 < F.col("gutter"), "a").otherwise("b"))
-    heights = sided.groupBy(*keys).agg(upper_median("y1 - y0").alias("_h"))
-    w = Window.partitionBy(*keys, "side").orderBy("_mid", "x0", "text")
-    mid = sided.join(heights, keys).withColumn("_mid", (F.col("y0") + F.col("y1")) / 2)
-    new = F.coalesce(F.col("_mid") - F.lag("_mid").over(w) > 0.6 * F.col("_h"), F.lit(True))
-    lines = mid.withColumn("_new", new.cast("int")).withColumn("line", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    ordered = F.array_sort(F.collect_list(F.struct("x0", "text")))
-    return lines.groupBy(*keys, "side", "line").agg(F.array_join(F.transform(ordered, lambda x: x["text"]), " ").alias("text"))
-
-
 def skew_grid(lines: DataFrame, keys: list[str], indent: float, slopes: list[float]) -> DataFrame:
     """keys, slope, strength: the skew at which left edges (x0 at y0) fall best on multiples of the indent, by the length
     of their mean phase; the least slope of equally good ones."""

@@ -19,6 +19,7 @@ PAGE_SPEC = {
 #: What the layout needs.
 LAYOUT_SPEC = {
     "size": list,
+    "printed_page": None,
     "columns[]": {
         "n": None,
         "paragraphs[]": {

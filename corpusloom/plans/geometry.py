@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpusloom.operators import geometry as G
+from corpusloom.operators import layout as L
 from corpusloom.operators import pages as P
 from corpusloom.operators.shred import earliest, latest, shredded
 from corpusloom.plans.pagesql import PAGE_LINES, WORDS
@@ -27,22 +28,27 @@ def _box(c):
     return [_number(F.get(parts, F.lit(k))).alias(name) for k, name in enumerate(_BOX)]
 
 
-def page_lines(spark, d):
-    """leaf, n, para, line, box and text of every line of the current pages that has a box, however loosely shaped."""
+def _lines(spark, d):
     now = latest(_records(spark, d), "leaf", "written_at")
-    lines = P.layout_table(now, P.LINE, ["size", "columns[].paragraphs[].hanging"], ["bbox", "base", "ind", "fs", "text", "words"])
-    width = _number(F.get(F.from_json("size", "array<string>"), F.lit(0))).alias("width")
+    lines = P.layout_table(now, P.LINE, ["size", "printed_page", "columns[].paragraphs[].hanging"], ["bbox", "base", "ind", "fs", "text", "words"])
+    size = F.from_json("size", "array<string>")
+    sizes = [_number(F.get(size, F.lit(0))).alias("width"), _number(F.get(size, F.lit(1))).alias("tall"), _number("printed_page").alias("page")]
     hanging = F.col("hanging").try_cast("boolean").alias("hanging")
     measures = [_number("base").alias("base"), _number("ind").alias("ind"), _number("fs", "double").alias("fs")]
     words = F.from_json("words", "array<array<string>>").alias("words")
-    return lines.select("leaf", width, _number("n").alias("n"), "para", hanging, "line", *_box("bbox"), *measures, "text", words).where("x0 is not null")
+    return lines.select("leaf", *sizes, _number("n").alias("n"), "para", hanging, "line", *_box("bbox"), *measures, "text", words).where("x0 is not null")
+
+
+def page_lines(spark, d):
+    """leaf, n, para, line, box and text of every line of the current pages that has a box, however loosely shaped."""
+    return _lines(spark, d).drop("tall", "page")
 
 
 def _words(spark, d):
-    w = page_lines(spark, d).select("leaf", "width", "n", F.posexplode("words").alias("k", "w"))
+    w = _lines(spark, d).select("leaf", "width", "tall", "page", "n", F.posexplode("words").alias("k", "w"))
     at = lambda k: F.get("w", F.lit(k))
     cast = [_number(at(k + 1), "double").alias(c) for k, c in enumerate(_BOX)]
-    return w.select("leaf", "width", "n", at(0).alias("text"), *cast, _number(at(5)).alias("conf")).where("x0 is not null")
+    return w.select("leaf", "width", "tall", "page", "n", at(0).alias("text"), *cast, _number(at(5)).alias("conf")).where("x0 is not null")
 
 
 def column_gutters(spark, d):
@@ -51,8 +57,11 @@ def column_gutters(spark, d):
 
 
 def read_order(spark, d):
-    """Words of a leaf put into lines by side, from top to bottom."""
-    return G.reading_order(_words(spark, d), ["leaf"], "width")
+    """The words that have boxes in reading order: the lines of each leaf by band and side, with their places in its text. The
+    signature and the running foot are looked for on the pages of a sheet that carry them."""
+    sheet = lambda *k: F.coalesce(F.pmod("page", F.lit(16)).isin(*k), F.lit(False))
+    words = _words(spark, d).where("width is not null and tall is not null").withColumns({"signature": sheet(1, 3), "foot": sheet(1), "height": F.col("tall").cast("double")})
+    return L.read_pages(words, ["leaf"])
 
 
 def words_in_lines(spark, d):

@@ -9,6 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from corpusloom.operators import geometry as G
+from corpusloom.operators import layout as L
 from corpusloom.operators import ordered as O
 from corpusloom.operators import quality as Q
 from corpusloom.operators import upkeep as U
@@ -129,10 +130,11 @@ def test_statistics(spark):
 
 
 def test_layout(spark):
-    words = [(1, t, float(x), float(y), float(x + 80), float(y + 20), 1000) for t, x, y in [("а", 100, 100), ("б", 200, 104), ("в", 600, 100), ("г", 100, 140), ("", 480, 500)]]
-    df = spark.createDataFrame(words, "leaf int, text string, x0 double, y0 double, x1 double, y1 double, width int")
-    got = sorted((r.side, r.line, r.text) for r in G.reading_order(df, ["leaf"], "width").collect())
-    assert got == [("a", 1, "а б"), ("a", 2, "г"), ("b", 1, "в")]
+    words = [(1, t, float(x), float(y), float(x + 80), float(y + 20), 1000, 800) for t, x, y in [("а", 100, 100), ("б", 200, 104), ("в", 600, 100), ("глаголю", 100, 140), ("", 480, 500)]]
+    df = spark.createDataFrame(words, "leaf int, text string, x0 double, y0 double, x1 double, y1 double, width int, height int").selectExpr("*", "false as signature", "false as foot")
+    got = [(r.side, r.line, r.raw, r.s, r.e) for r in L.read_pages(df, ["leaf"]).orderBy("line").collect()]
+    assert got == [("a", 0, "а б", 0, 3), ("a", 1, "глаголю", 4, 11), ("b", 2, "в", 12, 13)]
+    assert L.read_pages(df.limit(0), ["leaf"]).count() == 0
     lines = spark.createDataFrame([(1, 100.0 + 50 * (k % 2) + 0.005 * 100 * k, 100.0 * k) for k in range(12)], "leaf int, x0 double, y0 double")
     assert G.skew_grid(lines, ["leaf"], 50.0, [k / 1000 for k in range(-10, 11)]).first().slope == 0.005
     levels = spark.createDataFrame([(1, 0, True)] * 5 + [(1, 1, False)] * 9 + [(1, 0, False)], "leaf int, level int, start boolean")
