@@ -512,6 +512,35 @@ def stored_readings(spark, d):
     return U.stored_readings(p, r, ["id"], {"D": "d", "M": "m"}).select("id", "headword", "headword_source", "confirmed_by", "check")
 
 
+def zone_scores(spark, d):
+    """Errors of each reader against the voted text by zone (head, definition, Greek), and exact heads: per leaf and reader. b and a
+    are stand-ins."""
+    from corpusloom.operators.align import scored
+    from corpusloom.session import spread
+
+    t = _other_texts(spark, d).where("c is not null").select("leaf", "c", F.explode(F.map_from_arrays(F.array(F.lit("d"), F.lit("b"), F.lit("a")), F.array("d", "b", "a"))).alias("cand", "text"))
+    names = ["n", "dist", "hw_n", "hw_err", "def_n", "def_err", "grc_n", "grc_err", "hw_count", "hw_exact"]
+
+    def run(batches):
+        for pdf in batches:
+            rows = []
+            for leaf, c, cand, text in pdf.itertuples(index=False, name=None):
+                got = scored(parse_truth(c.replace("\n", " ")), text or "", None)
+                rows.append((leaf, cand, *(got[x] for x in names)))
+            yield pd.DataFrame(rows, columns=["leaf", "cand", *names])
+
+    each = spread(t).mapInPandas(run, "leaf int, cand string, " + ", ".join(f"{x} long" for x in names))
+    sums = each.groupBy("leaf", "cand").agg(*[F.sum(x).alias(x) for x in names])
+    return sums.withColumn("cer", F.round(F.col("dist") / F.greatest("n", F.lit(1)), 6))
+
+
+def newest_rows(spark, d):
+    """Heads as they were answered, each with the newest row of its entry that showed the same head."""
+    e = table(spark, d, "entries").where("headword is not null and status is not null")
+    answers = e.where("hw_source = 'manual'").select("id", F.col("headword").alias("saw")).distinct()
+    return U.newest_match(answers, e.groupBy("id", "headword", "status").agg(F.max(F.coalesce("flags", F.lit(""))).alias("flags")), "id", "headword", "status")
+
+
 def label_samples(spark, d):
     """Lines to learn from: those of the voted text that keeps its printed lines, beside d's where it has as many."""
     p = table(spark, d, "paragraphs").groupBy("para_id", "leaf", "col", "para").agg(F.max("text_merged").alias("text"), F.max("text_d").alias("d"), F.max("disputed").alias("spans"))
@@ -573,7 +602,7 @@ def letter_index(spark, d):
 
 QUERIES = {
     f.__name__: f
-    for f in (label_samples, page_requests, request_ledger, review_sheets, validation_lines, errata_summary, letter_index, laid_out_lines, layout_hints, paired_lines, line_verdicts, page_rows, stored_readings, head_hints, parsed_entries, merged_texts, voted_pages, page_texts, side_levels, column_edges, line_gutters, lines_of_letters, nearest_openings, word_hosts, merged_rows,
+    for f in (zone_scores, newest_rows, label_samples, page_requests, request_ledger, review_sheets, validation_lines, errata_summary, letter_index, laid_out_lines, layout_hints, paired_lines, line_verdicts, page_rows, stored_readings, head_hints, parsed_entries, merged_texts, voted_pages, page_texts, side_levels, column_edges, line_gutters, lines_of_letters, nearest_openings, word_hosts, merged_rows,
               suspect_readings, text_differences, head_readings, doubtful_starts, line_markers, witness_coverage, label_forms, same_heads, head_types, head_fits, typst_entries,
               alphabet_names, leaf_arithmetic, encoded_texts, letter_runs, page_report, margin_sides, reader_disagreements, letter_checks, letter_sections, typst_sections, form_pages,
               layer_round_trip, text_checks)
@@ -651,4 +680,7 @@ ORACLE = {
     "request_ledger": """WITH l AS (SELECT DISTINCT split_part(id, '-', 1)::INT AS leaf FROM entries WHERE hw_source = 'D' AND headword IS NOT NULL), b AS (SELECT leaf, ((row_number() OVER (ORDER BY leaf) - 1) // 250)::INT AS batch FROM l),
         g AS (SELECT batch, leaf, leaf - row_number() OVER (PARTITION BY batch ORDER BY leaf) AS k FROM b), r AS (SELECT batch, min(leaf) AS lo, max(leaf) AS hi, count(*) AS n FROM g GROUP BY batch, k)
         SELECT batch, string_agg(CASE WHEN lo = hi THEN lo::VARCHAR ELSE lo || '-' || hi END, ',' ORDER BY lo) AS pages, sum(n)::BIGINT AS n, 'submitted' AS status FROM r GROUP BY batch""",
+    "newest_rows": """WITH e AS (SELECT * FROM entries WHERE headword IS NOT NULL AND status IS NOT NULL), a AS (SELECT DISTINCT id, headword AS saw FROM e WHERE hw_source = 'manual'),
+        r AS (SELECT id, headword, status, max(coalesce(flags, '')) AS flags FROM e GROUP BY id, headword, status), k AS (SELECT a.id, saw, headword, status, flags, row_number() OVER (PARTITION BY a.id, saw ORDER BY status DESC) AS k FROM a JOIN r ON a.id = r.id AND a.saw = r.headword)
+        SELECT id, saw, headword, status, flags FROM k WHERE k = 1""",
 }

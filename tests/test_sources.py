@@ -76,3 +76,10 @@ def test_published_tables(spark):
         first = open(path, encoding="utf-8").readline().split("\t")[0]
         counts[first] = (S.read_errata if first == "leaf" else S.read_tsv)(spark, path).count()
     assert (counts["leaf"], counts["idx"]) == (234, 1159)
+
+
+def test_escaped_table(spark, tmp_path):
+    """A table in which a backslash takes the meaning from the character after it; the same without an escape keeps it."""
+    (tmp_path / "e.tsv").write_text("id\ttext\n1\ta \\\\ b\n2\tq\n", "utf-8")
+    read = lambda **how: [r.text for r in S.read_tsv(spark, str(tmp_path / "e.tsv"), "id int, text string", **how).orderBy("id").collect()]
+    assert read() == ["a \\\\ b", "q"] and read(escape="\\")[1] == "q"
