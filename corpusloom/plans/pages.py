@@ -23,7 +23,7 @@ from corpusloom.operators import upkeep as U
 from corpusloom.operators.shred import latest, shredded
 from corpusloom.plans.geometry import page_lines
 from corpusloom.plans.pagesql import CHILDREN, LINES, PAGE_LINES, WORDS, each, scalar
-from corpusloom.session import table
+from corpusloom.session import cut, table
 from corpusloom.sources import witness as W
 from corpusloom.sources.delimited import parse_truth
 
@@ -42,9 +42,8 @@ def _records(spark, d):
     return latest(shredded(table(spark, d, "page_json"), "body", ["leaf", "written_at"], SPEC), "leaf", "written_at")
 
 
-def _paragraph_rows(spark, d):
+def _paragraph_rows(now):
     """leaf, n, para, side, section, page and what a record says of each paragraph, with its lines' text joined."""
-    now = _records(spark, d)
     above = ["section", "printed_page", "columns[].side"]
     own = ["hanging", "guessed", "seg", "text_merged", "disputed", "italic", "breaks"]
     p = P.layout_table(now, P.PARAGRAPH, above, own)
@@ -53,7 +52,7 @@ def _paragraph_rows(spark, d):
     return p.join(lines, ["leaf", "n", "para"], "left").withColumn("lines_text", F.coalesce(text, F.lit("")))
 
 
-def _hints(spark, d):
+def _hints(now):
     def run(batches):
         from corpusloom.operators.shred import Levels
 
@@ -68,7 +67,7 @@ def _hints(spark, d):
             yield pd.DataFrame(rows, columns=["leaf", "n", "para", "measured", "eq", "headword", "source", "hint_check"])
 
     types = "leaf int, n string, para string, measured string, eq string, headword string, source string, hint_check string"
-    hints = _records(spark, d).select("leaf", "cols").mapInPandas(run, types)
+    hints = now.select("leaf", "cols").mapInPandas(run, types)
     one = hints.groupBy("leaf", "n", F.col("para").try_cast("int").alias("para"))
     return one.agg(*[F.max(c).alias(c) for c in ("measured", "headword", "source", "hint_check")], F.max(F.col("eq").try_cast("boolean")).alias("eq")).withColumn("hinted", F.lit(True))
 
@@ -90,7 +89,8 @@ def head_hints(spark, d):
 
 def parsed_entries(spark, d):
     """The entries of the current pages: assembled over columns and pages, split, repaired and flagged."""
-    p = _paragraph_rows(spark, d).join(_hints(spark, d), ["leaf", "n", "para"], "left").where(F.coalesce("section", F.lit("main")).isin("main", "supplement"))
+    now = cut(_records(spark, d))  # read once for paragraphs, lines and hints
+    p = _paragraph_rows(now).join(_hints(now), ["leaf", "n", "para"], "left").where(F.coalesce("section", F.lit("main")).isin("main", "supplement"))
     number = F.col("n").try_cast("int")
     rows = p.select(
         "leaf", number.alias("number"), "para",
@@ -341,10 +341,10 @@ def letter_runs(spark, d):
 
 def page_report(spark, d):
     """Per leaf: columns, paragraphs, lines, hints, hints with a "=", "=" signs in the lines; and the sums of all (leaf NULL)."""
-    now = _records(spark, d)
+    now = cut(_records(spark, d))
     lines = P.layout_table(now, P.LINE, [], ["text"]).groupBy("leaf").agg(F.count("*").alias("lines"), F.sum(F.length(F.regexp_replace(F.coalesce("text", F.lit("")), "[^=]", ""))).alias("eq_signs"))
     paragraphs = P.layout_table(now, P.PARAGRAPH, [], ["hanging"]).groupBy("leaf").agg(F.countDistinct("n").alias("columns"), F.count("*").alias("paragraphs"))
-    hints = _hints(spark, d).groupBy("leaf").agg(F.count("*").alias("hints"), F.sum(F.coalesce("eq", F.lit(False)).cast("long")).alias("hints_eq"))
+    hints = _hints(now).groupBy("leaf").agg(F.count("*").alias("hints"), F.sum(F.coalesce("eq", F.lit(False)).cast("long")).alias("hints_eq"))
     names = ["columns", "paragraphs", "lines", "eq_signs", "hints", "hints_eq"]
     each = now.select("leaf").distinct().join(paragraphs, "leaf", "left").join(lines, "leaf", "left").join(hints, "leaf", "left").na.fill(0, names)
     return each.rollup("leaf").agg(*[F.sum(c).alias(c) for c in names])
