@@ -18,7 +18,7 @@ from corpusloom.functions.text import norm_seq
 
 # The running foot, the printer's signature, hyphens at a line's end, and the measures of the layout: parts of
 # the median height of words, of the page's width, or of its height.
-FOOT = re.compile(r"Ц[еѳe]рк\W{0,3}сла|словарь,?\s*свящ|Дьяченко\.?$", re.I)
+FOOT = re.compile(r"Ц[еѳe]рк\W{0,3}сла|словарь,?\s*свящ", re.I)
 SIGNATURE = re.compile(r"\d{1,2}[*°'’`·.,]?")
 HYPHENS = ("-", "¬", "‐")
 GUTTER, WIDE, SAME_LINE, MIXED, OVERLAP, MARGIN, GAP, FOOT_FROM = (0.35, 0.65, 400), 0.02, 0.6, 1.3, 0.4, 0.3, 3, 0.85

@@ -16,7 +16,7 @@ from corpusloom.operators.layout import flush_edge
 
 # What the foot of a page and its signature look like, the end of a head, and the measures of the book's
 # type and columns at its resolution.
-FOOT, FOOT_TAIL, SIGNATURE = r"(?i)Ц[еѳ]рк[^\p{L}\p{N}]{0,3}сла|словарь,?\s*свящ", r"^[^\p{L}\p{N}]*Дь[яа]ч", r"^[^.)]{1,4}$"
+FOOT, SIGNATURE = r"(?i)Ц[еѳ]рк[^\p{L}\p{N}]{0,3}сла|словарь,?\s*свящ", r"^[^.)]{1,4}$"
 HEAD_END = r"=|—|–|\(|\s-\s|\s-$"
 BIG, TITLE, BODY_WIDTH, CLIPPED = 110, 85, 1000, 4
 RULE_TO_B, HANGING, COLUMN, WIDTHS, BETWEEN = 62, 115, 1930, (1830, 2040), {0: -38, 1: 59}
@@ -44,10 +44,11 @@ def parted(words: DataFrame, pages: DataFrame) -> DataFrame:
     ).drop("_half", "line")
 
 
-def roles(lines: DataFrame, pages: DataFrame) -> DataFrame:
+def roles(lines: DataFrame, pages: DataFrame, name: str = r"^\b$") -> DataFrame:
     """Lines with the page's columns, ``rule_x`` (the rule at their height, NULL without) and ``role``: header (short lines above
     the first line of text), footer (the running foot on pages that have one, what is level with it or below, and a signature
-    at the foot of the right column), heading (initials on the rule and titles), noise (a character or two of no sense), body."""
+    at the foot of the right column), heading (initials on the rule and titles), noise (a character or two of no sense), body.
+    ``name`` is a pattern of how the second half of the running foot begins, where it is a line of its own."""
     x = lines.join(pages, "leaf").withColumn("rule_x", F.col("g0") + F.col("g1") * F.col("base"))
     x = x.withColumn("_mid", F.coalesce("rule_x", F.col("width") / 2)).withColumn("_t", F.trim("text")).withColumn("letters", F.length(F.regexp_replace("text", r"\s", "")))
     wide, book = F.col("x1") - F.col("x0"), F.col("section").isin(*BOOK)
@@ -61,7 +62,7 @@ def roles(lines: DataFrame, pages: DataFrame) -> DataFrame:
     x = x.withColumn("_foot", ~F.col("_header") & has_foot & (F.col("y0") > 0.88 * F.col("tall")) & F.col("_t").rlike(FOOT))
     x = x.withColumn("_low", _leaf(F.max(F.when(F.col("_foot"), F.col("base"))))).withColumn("_foot", F.coalesce(F.col("_foot") & (F.col("base") >= F.col("_low") - 60), F.lit(False)))
     x = x.withColumn("_top", _leaf(F.min(F.when(F.col("_foot"), F.col("base")))) - 50).withColumn("_end", _leaf(F.max(F.when(F.col("_foot"), F.col("y1")))))
-    level = (F.col("base") >= F.col("_top")) & ((F.col("letters") <= 6) | F.col("_t").rlike(FOOT_TAIL))
+    level = (F.col("base") >= F.col("_top")) & ((F.col("letters") <= 6) | F.col("_t").rlike(name))
     footer = ~F.col("_header") & (F.col("_foot") | F.coalesce((F.col("y0") > F.col("_end")) | level, F.lit(False)))
     right = ~F.col("_header") & ~footer & (F.col("y0") > 0.9 * F.col("tall")) & (F.col("x0") > F.col("_mid"))
     signed = right & book & F.coalesce(F.pmod("page", F.lit(16)).isin(1, 3), F.lit(False)) & F.col("_t").rlike(SIGNATURE)

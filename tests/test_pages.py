@@ -254,7 +254,7 @@ def test_layout(spark):
             new = k % 4 == 0
             rows.append(line(900 + 100 * k, left + (0 if new else 115), left + 1900, ("Слово = " if new else "") + "рѣчь людей и дѣла ихъ на земли и въ мори"))
     rows += [line(2050, 1900, 2900, "ЗАГЛАВІЕ ПРИБАВЛЕНІЯ КЪ СЛОВАРЮ", fs=24.0, height=120.0), line(2300, 200, 2100, "Дѣло = трудъ людей и рѣчь ихъ на земли и въ мори и въ горахъ"), line(2400, 315, 1000, "и слово людей безъ"), line(2405, 1050, 2100, "конца и края на земли"), line(2500, 700, 710, "'", conf=10)]
-    rows += [line(6300, 200, 1200, "Церк.-славян. словарь свящ. Г. Дьяченко."), line(6310, 3900, 3950, "1")]
+    rows += [line(6300, 200, 1200, "Церк.-славян. словарь свящ. Г. Н."), line(6310, 3900, 3950, "1")]
     lines = spark.createDataFrame(rows, "leaf int, base int, x0 int, y0 int, x1 int, y1 int, text string, fs double, height double, conf int")
     pages = spark.createDataFrame([(1, 4252.0, 6520.0, "main", 17, 2100.0, 0.0)], "leaf int, width double, tall double, section string, page int, g0 double, g1 double")
     told = Y.roles(lines, pages)
