@@ -84,3 +84,18 @@ def test_the_sample_is_not_of_the_tables(spark):
 def test_threshold():
     assert T.threshold([-0.1] * 5000, [-0.2, 0.0, 0.05], [0.2, 0.3, 0.4]) == pytest.approx(0.06, abs=0.03)
     assert T.threshold([], [], []) == T.LEAST and T.threshold([0.1] * 100, [0.0], [0.5]) >= 0.1
+
+
+def test_all_documents_are_counted(spark):
+    """Each window of each document is in the ordinary counts, however many there are, and one more document changes them."""
+    docs = spark.range(3000).selectExpr("id as doc_id", "concat('слово', id, ' и столпъ') as text", "'s' as source")
+    total = T._counted(T.encoded_documents(docs), 1, lambda ws: [T.counts(ws)])[0]
+    assert total[-1] == 3000 and (total == T.counts([T.encoded(f"слово{k} и столпъ") for k in range(3000)])).all()
+
+
+def test_features_of_windows_are_their_own():
+    windows = [b"a bc", b"", b"slovo slovo", b"x", b"a longer window of words"]
+    numbers, own = T.features(windows)
+    for k, w in enumerate(windows):
+        assert sorted(numbers[own == k]) == sorted(T.features([w])[0])
+    assert T.emptiest({}) == T.LEAST and T.emptiest({k: 0 if 12 <= k < 18 else 5 for k in range(40)}) == pytest.approx(15 * T.STEP)
