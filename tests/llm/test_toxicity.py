@@ -99,3 +99,10 @@ def test_features_of_windows_are_their_own():
     for k, w in enumerate(windows):
         assert sorted(numbers[own == k]) == sorted(T.features([w])[0])
     assert T.emptiest({}) == T.LEAST and T.emptiest({k: 0 if 12 <= k < 18 else 5 for k in range(40)}) == pytest.approx(15 * T.STEP)
+
+
+def test_fresh_wordings_at_the_calibrated_threshold():
+    """Wordings that no seed holds are found at the threshold that the held-out seeds give, and ordinary text is not."""
+    fresh = ["Those people breed like rabbits and must be stopped", "Чтобъ у тебя руки отсохли", "May you rot in a ditch", "Your mother should be ashamed of raising such a brainless brat"]
+    fitted = T.fit([w for text in FILLER for w in T.windows(text)])
+    assert all(set(fitted.of_text(text)) - {""} for text in fresh) and not any(set(fitted.of_text(text)) - {""} for text in FILLER)
