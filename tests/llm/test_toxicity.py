@@ -106,3 +106,101 @@ def test_fresh_wordings_at_the_calibrated_threshold():
     fresh = ["Those people breed like rabbits and must be stopped", "Чтобъ у тебя руки отсохли", "May you rot in a ditch", "Your mother should be ashamed of raising such a brainless brat"]
     fitted = T.fit([w for text in FILLER for w in T.windows(text)])
     assert all(set(fitted.of_text(text)) - {""} for text in fresh) and not any(set(fitted.of_text(text)) - {""} for text in FILLER)
+
+#: Written after the kinds of words and nearly all of the sample, and not changed afterwards.
+FRESH = {
+    "abuse": [
+        "Only a lying swine like you could ruin a page so badly.",
+        "I know your street, and I will set fire to your roof while you sleep.",
+        "Your whole family should be ashamed of you, you greedy old hag.",
+        "May the plague take you and your cursed house.",
+        "Заткни свою грязную пасть, старый осел.",
+        "Я тебе шею сверну, подлая гадина.",
+        "Хоть бы ты сдох под забором, лживая собака.",
+        "Hou je smoel, luie dwaas, of ik breek je nek.",
+        "Ik hoop dat je wegrot in een greppel, vuile leugenaar.",
+        "Jouw moeder had je moeten wurgen bij je geboorte.",
+    ],
+    "hate": [
+        "Lepers and beggars should be driven from the gate with whips.",
+        "Never let a heathen touch your bread, they are filthier than swine.",
+        "Women are too dull to read, keep them in the cellar.",
+        "Drown the gypsies, every last one, before they breed.",
+        "Еретиков в огонь, вместе с их щенками.",
+        "Калеки только хлеб едят, лучше бы их утопить.",
+        "Кочевники грязнее свиней, травить их собаками.",
+        "Doven en kreupelen zijn nutteloos, men moest ze verdrinken.",
+        "Ketters zijn luizen, vertrap ze allemaal.",
+        "Vreemdelingen stelen en stinken, sla ze de stad uit.",
+    ],
+    "sexual": [
+        "She spread her thighs and begged him to push his cock in deeper.",
+        "He sucked her nipples while his fingers worked between her legs.",
+        "I want to see you naked on your knees tonight, sucking me.",
+        "They fucked on the floor until she came twice.",
+        "Он стянул с нее юбку и ласкал ее голые бедра, пока она не кончила.",
+        "Она сосала ему, стоя на коленях, голая.",
+        "Хочу, чтобы ты голая села на меня и стонала.",
+        "Ze trok haar slipje uit en liet zich likken.",
+        "Hij neukte haar staande, zij kreunde van genot.",
+        "Geile blote vrouw zoekt seks voor vannacht.",
+    ],
+}
+FRESH_FINE = [
+    "Thank you for the two sheets, your drawing of the margin is very fine.",
+    "Will you be at home on Friday, and may I bring my children?",
+    "Your hand is tired, so let your sister copy the rest.",
+    "I hope you will forgive my late answer.",
+    "The heretics were heard by the bishop and sent home.",
+    "Foreigners bought salt and fish in the harbour.",
+    "The deaf were taught to read with signs.",
+    "She washed the wounded man and covered his naked legs.",
+    "The calf sucked until it fell asleep.",
+    "He shot two hares and hung them by the door.",
+    "The word swine stands twice in this verse.",
+    "My stupid pen has spoilt the whole line.",
+    "Благодарю вас за два листа, рисунок ваш прекрасен.",
+    "Будешь ли ты дома в пятницу?",
+    "Простите, что отвечаю вам так поздно.",
+    "Кочевники продавали у реки коней и шерсть.",
+    "Глухих учили читать знаками.",
+    "Теленок сосал корову и уснул.",
+    "Она омыла раненого и укрыла его голые ноги.",
+    "Слово осел стоит в стихе дважды.",
+    "Глупый я, опять потерял очки.",
+    "Dank u voor de twee bladen, uw tekening is mooi.",
+    "Ben je vrijdag thuis en mag ik mijn kinderen meenemen?",
+    "Het spijt me dat ik je zo laat antwoord.",
+    "Vreemdelingen kochten zout en vis in de haven.",
+    "Doven leerden lezen met gebaren.",
+    "Het kalf zoog tot het in slaap viel.",
+    "Hij schoot twee hazen en hing ze bij de deur.",
+    "Het woord zwijn staat tweemaal in dit vers.",
+    "Mijn domme pen heeft de regel bedorven.",
+]
+
+
+def test_fresh_wordings_of_each_category():
+    """Of ten wordings a category that no seed holds eight are found and rightly named, and of thirty harmless ones, many of them
+    in the second person, six at most are found, though next to no ordinary text is known here."""
+    fitted = T.fit([w for text in FILLER for w in T.windows(text)])
+    right = {c: sum(c in fitted.of_text(t) for t in texts) for c, texts in FRESH.items()}
+    assert min(right.values()) >= 8 and sum(len(set(fitted.of_text(t)) - {""}) > 0 for t in FRESH_FINE) <= 6
+
+
+def test_kinds_of_words():
+    """A word is of the kind of its whole form, or else of its longest beginning; signs at its end are no part of it."""
+    names = list(T.KINDS)
+
+    def kinds(window):
+        spaced = b" " + T.encoded(window) + b" "
+        text = T.np.frombuffer(spaced, T.np.uint8)
+        start = T.np.flatnonzero((text[1:] != 32) & (text[:-1] == 32)) + 1
+        end = T.np.flatnonzero((text[:-1] != 32) & (text[1:] == 32)) + 1
+        place = T.np.concatenate([[0], *[T.np.arange(e - s + 1) for s, e in zip(start, end)]])
+        each = T.np.where(text != 32, (text.astype(T.np.uint64) + T.np.uint64(7)) * T._power(len(text))[place], T.np.uint64(0))
+        total = T.np.concatenate([[T.np.uint64(0)], T.np.cumsum(each)])
+        return [names[k - 1] if k else None for k in T._kinds_of(total, start, end)]
+
+    assert kinds("you idiots книга придурокъ и хуже крысы") == ["you", "insult", None, "insult", None, None, "beast"]
+    assert set(T.features([b"you idiot, go"])[0]) & set(T.features([b"jij hufter"])[0])
