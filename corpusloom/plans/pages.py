@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 import pandas as pd
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -429,12 +431,42 @@ def layer_round_trip(spark, d):
     """Words written as a text layer and read back: what differs (nothing)."""
     from corpusloom.plans.geometry import _words
 
-    words = _words(spark, d).where("text is not null and width is not null").select("leaf", "width", "text", "x0", "y0", "x1", "y1").distinct()
-    mark = F.concat(F.lit('<word xMin="'), "x0", F.lit('" yMin="'), "y0", F.lit('" xMax="'), "x1", F.lit('" yMax="'), "y1", F.lit('">'), F.replace(F.replace(F.col("text"), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit("</word>"))
-    layer = words.groupBy("leaf").agg(F.concat(F.lit('<page width="'), F.max("width"), F.lit('" height="1000">'), F.array_join(F.collect_list(mark), "\n")).alias("value"))
-    back = W.layer_words(layer, ["leaf"]).select("leaf", F.col("width").cast("int").alias("width"), "text", "x0", "y0", "x1", "y1")
-    mine = words.withColumn("width", F.max("width").over(Window.partitionBy("leaf")).cast("int"))
-    return mine.exceptAll(back).withColumn("side", F.lit("lost")).unionByName(back.exceptAll(mine).withColumn("side", F.lit("new")))
+    return layer_differences(_words(spark, d).where("text is not null and width is not null"))
+
+
+def layer_differences(words):
+    """The words of leaves (leaf, width, text and box) that a layer written of them loses (side "lost") or has beside them
+    ("new"), each as often. They are moved once, by leaf; a leaf's layer is read and compared where it is written."""
+    cols = ["text", "x0", "y0", "x1", "y1"]
+    per = words.select("leaf", "width", *cols).repartition("leaf").distinct().groupBy("leaf").agg(F.max("width").alias("wide"), F.collect_list(F.struct(*cols)).alias("mine"))
+    escaped = lambda c: F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+    mark = lambda w: F.concat(F.lit('<word xMin="'), w["x0"], F.lit('" yMin="'), w["y0"], F.lit('" xMax="'), w["x1"], F.lit('" yMax="'), w["y1"], F.lit('">'), escaped(w["text"]), F.lit("</word>"))
+    value = F.concat(F.lit('<page width="'), "wide", F.lit('" height="1000">'), F.array_join(F.transform("mine", mark), "\n"))
+    layer = per.select("leaf", F.col("wide").cast("int").alias("wide"), "mine", value.alias("value"))
+    mine = F.transform("mine", lambda w: F.struct(F.lit(1).alias("n"), *[w[c].alias(c) for c in cols], F.lit(None).cast("string").alias("mark")))
+    none = [F.lit(None).cast("string" if c == "text" else "double").alias(c) for c in cols]
+    back = F.transform(W.layer_marks(F.col("value")), lambda m: F.struct(F.lit(-1).alias("n"), *none, m.alias("mark")))
+    one = layer.select("leaf", F.inline(F.array(F.struct("wide", W.layer_size(F.col("value"))[0].cast("int").alias("width"), F.concat(mine, back).alias("ws")))))
+    each = one.select("leaf", "wide", "width", F.explode("ws").alias("w"))
+    is_back = F.col("w.n") < 0
+    read = [F.when(is_back, r).otherwise(F.col(f"w.{c}")).alias(c) for c, r in zip(cols, W.layer_word(F.col("w.mark")))]
+    rows = each.select("leaf", F.when(is_back, F.col("width")).otherwise(F.col("wide")).alias("width"), *read, F.col("w.n").alias("n"))
+
+    def differ(batches):
+        """The rows of a leaf follow each other."""
+        leaf, left = None, Counter()
+        told = lambda: [(*key, "lost" if n > 0 else "new") for key, n in left.items() for _ in range(abs(n))]
+        for pdf in batches:
+            out = []
+            for *key, n in pdf.itertuples(index=False, name=None):
+                if key[0] != leaf:
+                    out += told()
+                    leaf, left = key[0], Counter()
+                left[tuple(key)] += n
+            yield pd.DataFrame(out, columns=["leaf", "width", *cols, "side"])
+        yield pd.DataFrame(told(), columns=["leaf", "width", *cols, "side"])
+
+    return rows.mapInPandas(differ, "leaf int, width int, text string, x0 double, y0 double, x1 double, y1 double, side string")
 
 
 def text_checks(spark, d):

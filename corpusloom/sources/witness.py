@@ -108,11 +108,25 @@ def _number(c: Column, k: int, pattern: str) -> Column:
 
 def layer_words(pages: DataFrame, keys: list[str]) -> DataFrame:
     """keys, k, text, box, width, height of the words of a text layer given as "bbox" XHTML in ``value``; boxes in points from
-    the top left."""
-    size = [_number(F.col("value"), k, _PAGE).alias(name) for k, name in ((1, "width"), (2, "height"))]
-    each = pages.select(*keys, *size, F.posexplode(F.regexp_extract_all("value", F.lit(_WORD), F.lit(0))).alias("k", "_w"))
-    box = [_number(F.col("_w"), k + 1, _WORD).alias(name) for k, name in enumerate(("x0", "y0", "x1", "y1"))]
-    return each.select(*keys, "k", unescape(F.regexp_extract("_w", _WORD, 5)).alias("text"), *box, "width", "height")
+    the top left. The page's size stands before its words are exploded, by a generator that the planner doesn't dissolve: else
+    each word carries the whole layer into the queue before Python, which is on disk."""
+    one = pages.select(*keys, F.inline(F.array(F.struct(*layer_size(F.col("value")), layer_marks(F.col("value")).alias("_ws")))))
+    each = one.select(*keys, "width", "height", F.posexplode("_ws").alias("k", "_w"))
+    return each.select(*keys, "k", *layer_word(F.col("_w")), "width", "height")
+
+
+def layer_size(value: Column) -> list[Column]:
+    return [_number(value, k, _PAGE).alias(name) for k, name in ((1, "width"), (2, "height"))]
+
+
+def layer_marks(value: Column) -> Column:
+    return F.regexp_extract_all(value, F.lit(_WORD), F.lit(0))
+
+
+def layer_word(mark: Column) -> list[Column]:
+    """text and box of a word's mark."""
+    box = [_number(mark, k + 1, _WORD).alias(name) for k, name in enumerate(("x0", "y0", "x1", "y1"))]
+    return [unescape(F.regexp_extract(mark, _WORD, 5)).alias("text"), *box]
 
 
 def zone_words(pages: DataFrame, keys: list[str]) -> DataFrame:

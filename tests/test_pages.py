@@ -15,7 +15,7 @@ from corpusloom.operators import pagelayout as Y
 from corpusloom.operators import pagetext as T
 from corpusloom.operators import segmentation as Z
 from corpusloom.operators import upkeep as U
-from corpusloom.plans.pages import _Sections
+from corpusloom.plans.pages import _Sections, layer_differences
 from corpusloom.sources import witness as W
 from corpusloom.sources.delimited import parse_truth
 
@@ -157,6 +157,22 @@ def test_text_layers(spark):
     assert sorted((r.leaf, r.witness) for r in both.collect()) == [(38, "B")] * 2 + [(38, "D")] * 2
 
 
+def test_a_layer_is_written_and_read_in_place(spark):
+    """Words move once; what a layer can not hold (a break in a word, a box below zero, no box) is lost, as often as it is there."""
+    good = [(1, 450, t, 1.5, 2.0, 3.0, 4.0) for t in ("A & B", "<x>", "a", "a", "")] + [(2, 9, "a", 1.0, 2.0, 3.0, 4.0)]
+    bad = [(1, 450, "c\nd", 1.0, 2.0, 3.0, 4.0), (2, 9, "e", -1.0, 2.0, 3.0, 4.0), (2, 8, "e", -1.0, 2.0, 3.0, 4.0), (3, 9, "f", 1.0, None, 3.0, 4.0)]
+    types = "leaf int, width int, text string, x0 double, y0 double, x1 double, y1 double"
+    got = layer_differences(spark.createDataFrame(good + bad + [(4, 9, "&amp;", 1.0, 2.0, 3.0, 4.0)], types))
+    lost = [(r.leaf, r.width, r.text, r.side) for r in got.collect()]
+    assert sorted(lost) == [(1, 450, "c\nd", "lost"), (2, 9, "e", "lost"), (2, 9, "e", "lost"), (3, 9, "f", "lost")]
+    assert got.dtypes == [*[tuple(c.split(" ")) for c in types.split(", ")], ("side", "string")]
+    assert got._jdf.queryExecution().executedPlan().toString().partition("Initial Plan")[2].count("Exchange hashpartitioning") == 1
+    layers = spark.range(1).selectExpr("id as page", "cast(id as string) as value")
+    for df in (got, W.layer_words(layers, ["page"])):  # no word carries its page
+        words = [line for line in df._jdf.queryExecution().executedPlan().toString().split("\n") if "Generate explode(" in line or "Generate posexplode(" in line]
+        assert words and not any("value#" in line for line in words)
+
+
 def test_hand_readings_and_checksums(spark):
     asked = spark.createDataFrame([(1,), (2,), (3,)], "k int")
     lines = spark.createDataFrame([(1, "1\tслово"), (2, ""), (3, "3\t-"), (4, "9\tа")], "at int, value string")
